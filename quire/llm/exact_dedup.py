@@ -107,6 +107,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     proof = id_and_text(docs, id_col, text_col).join(suspects, "doc_id", "left_semi").select("doc_id", F.sha2(plain, 256).alias("text_sha256"), plain.alias("proof"))
     own = own.join(proof.distinct(), ["doc_id", "text_sha256"], "left").withColumn("proof", F.coalesce("proof", F.lit("")))
     groups = own.groupBy("n_bytes", "recipe", "proof").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = materialize(groups, "groups")  # read back, so that a large group of copies is split in the join
     return own.join(groups, ["n_bytes", "recipe", "proof"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
