@@ -42,7 +42,7 @@ def words_outside(words: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFr
 
 def text_lines(words: DataFrame, keys: list[str], line: list[str]) -> DataFrame:
     """One block per line of native words: words left to right, lines numbered by their top left corner."""
-    lines = words.groupBy(*keys, *line).agg(in_order([F.col("box.x0"), "word"], "text", " ").alias("text"), union_of(F.col("box")).alias("box"))
+    lines = words.groupBy(*keys, *line).agg(in_order([F.col("box.x0"), "word"], "word", " ").alias("text"), union_of(F.col("box")).alias("box"))
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("box.y0", "box.x0", *line))
     return lines.withColumn("block_id", F.format_string("text-%04d", number)).select(*keys, "block_id", "text", "box")
 
