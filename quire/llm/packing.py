@@ -33,9 +33,20 @@ from pyspark.sql import functions as F
 from quire.llm.common import id_and_text, materialize, per_batch
 
 TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, (0).to_bytes(4, "little")
-CACHED_CHUNKS, CACHED_WORDS, CACHED_LENGTH = 250_000, 500_000, 48
+CACHED_CHUNKS, CACHED_WORDS, CACHED_LENGTH = 800_000, 800_000, 48
 #: words of Latin-1 letters and plain punctuation, which the tokenizer always separates from each other
 SEPARABLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+#: a stop or comma after a letter or digit begins a token of its own; after another sign it may not
+PLAIN_END, CROWDED = re.compile("(?<=[A-Za-z0-9À-ÖØ-öø-ÿ])(?=[.,])"), re.compile("[^A-Za-z0-9À-ÖØ-öø-ÿ \n][.,]").search
+
+
+def chunks_of(text: str) -> list[str]:
+    """Parts of a text between which the tokenizer never merges."""
+    if CROWDED(text):
+        text = PLAIN_END.sub(" ", text)
+    else:
+        text = text.replace(".", " .").replace(",", " ,")
+    return text.replace("\n", " ").split(" ")
 
 
 class ChunkEncoder:
@@ -75,36 +86,38 @@ class ChunkEncoder:
         if len(self.words) + len(unknown) > CACHED_WORDS:
             self.words = {"": b""}
         words, new, hard, late = self.words, {}, [], []
+        known = words.get
         for c in unknown:
             if m := SEPARABLE(c):
-                w, p = m[1].lower(), m[2]
-                if w in words and p in words:
-                    new[c] = words[w] + words[p]
+                w, p = m.groups()
+                w = w.lower()
+                if (ids := known(w)) is not None and (not p or p in words):
+                    new[c] = ids + words[p] if p else ids
                 else:
                     late.append((c, w, p))
             else:
                 hard.append(c)
         if late:
-            if ask := sorted({w for _, w, _ in late if w not in words}):
+            if ask := [*{w for _, w, _ in late if w not in words}]:
                 words.update(self._ask_words(ask))
-            if ask := sorted({p for _, _, p in late if p not in words}):
+            if ask := [*{p for _, _, p in late if p not in words}]:
                 words.update(self._ask(ask))
             for c, w, p in late:
                 new[c] = words[w] + words[p]
         if hard:
-            new.update(self._ask(sorted(hard)))
+            new.update(self._ask(hard))
         self.chunks.update(new if max(map(len, new)) <= CACHED_LENGTH else {c: v for c, v in new.items() if len(c) <= CACHED_LENGTH})
         return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [chunks_of(t) for t in texts]
         before = self.chunks
         unknown = set().union(*split).difference(before)
         find = (self._learn(unknown) if unknown else before).get
         out = []
         for chunks in split:
             try:
-                out.append(b"".join([before[c] for c in chunks]))
+                out.append(b"".join(map(before.__getitem__, chunks)))
             except KeyError:  # the cache was renewed, or holds no long chunks
                 out.append(b"".join([before[c] if c in before else find(c) for c in chunks]))
         return out
