@@ -40,7 +40,7 @@ def heading_level(spark, sf_dir):
 
 @query("""WITH p AS (SELECT p_partkey AS id, p_size % 6 AS num_id, CASE WHEN p_partkey % 5 = 0 THEN 'x' ELSE CAST(p_partkey % 4 AS VARCHAR) END AS ilvl FROM part), n(num_id, abstract_id) AS (VALUES (1, 10), (2, 10), (3, 20), (4, 99)),
 l(abstract_id, level, format, text) AS (VALUES (10, 0, 'decimal', '%1.'), (10, 1, 'bullet', '•'), (10, 2, 'lowerLetter', '%3)'), (20, 0, 'bullet', '-'), (20, 1, NULL, NULL))
-SELECT id, p.num_id, coalesce(TRY_CAST(ilvl AS INT), 0) AS level, coalesce(format, '') AS format, coalesce(text, '') AS template FROM p LEFT JOIN n ON n.num_id = p.num_id LEFT JOIN l ON l.abstract_id = n.abstract_id AND l.level = coalesce(TRY_CAST(ilvl AS INT), 0)""")
+SELECT id, CAST(p.num_id AS BIGINT) AS num_id, coalesce(TRY_CAST(ilvl AS INT), 0) AS level, coalesce(format, '') AS format, coalesce(text, '') AS template FROM p LEFT JOIN n ON n.num_id = p.num_id LEFT JOIN l ON l.abstract_id = n.abstract_id AND l.level = coalesce(TRY_CAST(ilvl AS INT), 0)""")
 def list_numbering(spark, sf_dir):
     p = c.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 6).cast("long").alias("num_id"), F.when(F.col("p_partkey") % 5 == 0, "x").otherwise((F.col("p_partkey") % 4).cast("string")).alias("ilvl"))
     nums = spark.createDataFrame([(1, 10), (2, 10), (3, 20), (4, 99)], "num_id long, abstract_id long")
@@ -56,7 +56,7 @@ def block_classify(spark, sf_dir):
     return own.select("conv_id", "ord", flow.block_type(level, F.col("kind") == "list_item").alias("type"))
 
 
-@query(f"WITH {c.FLOW} SELECT conv_id, ord, section, kind, length(text) AS n FROM v_sections")
+@query(f"WITH {c.FLOW} SELECT conv_id, ord, section, kind, CAST(length(text) AS INT) AS n FROM v_sections")
 def section_index(spark, sf_dir):
     own = flow.section_index(c.flow(spark, sf_dir), ["conv_id"], "turn", "is_heading")
     return own.select("conv_id", "ord", "section", "kind", F.length("text").alias("n"))

@@ -13,7 +13,7 @@ from quire.sources.html_tables import html_table_cells
 KEYS = ["table_id"]
 
 
-@query(f'WITH {c.CELLS} SELECT table_id, max("row" + rowspan) AS nrows, max(col + colspan) AS ncols FROM v_cells GROUP BY table_id')
+@query(f'WITH {c.CELLS} SELECT table_id, CAST(max("row" + rowspan) AS BIGINT) AS nrows, CAST(max(col + colspan) AS BIGINT) AS ncols FROM v_cells GROUP BY table_id')
 def table_dims(spark, sf_dir):
     return grid.dims(c.cells(spark, sf_dir), KEYS)
 
@@ -30,7 +30,7 @@ def cells_from_boxes(spark, sf_dir):
 
 
 POSITIONS = 'pos AS (SELECT table_id, "row" + r AS r, col + k AS c FROM v_cells, unnest(range(0, rowspan)) a(r), unnest(range(0, colspan)) b(k))'
-CHECK = f"""{c.CELLS}, {POSITIONS}, dims AS (SELECT table_id, max("row" + rowspan) AS nrows, max(col + colspan) AS ncols, count(*) AS n_cells, CAST(sum(CAST(trim(text) = '' AS INT)) AS BIGINT) AS n_empty, bool_or(NOT has_box) AS no_geometry FROM v_cells GROUP BY table_id),
+CHECK = f"""{c.CELLS}, {POSITIONS}, dims AS (SELECT table_id, CAST(max("row" + rowspan) AS BIGINT) AS nrows, CAST(max(col + colspan) AS BIGINT) AS ncols, count(*) AS n_cells, CAST(sum(CAST(trim(text) = '' AS INT)) AS BIGINT) AS n_empty, bool_or(NOT has_box) AS no_geometry FROM v_cells GROUP BY table_id),
 spread AS (SELECT table_id, count(*) AS covered, count(DISTINCT (r, c)) AS positions FROM pos GROUP BY table_id),
 checked AS (SELECT d.*, list_sort(list_filter([CASE WHEN no_geometry THEN 'cell_geometry_unavailable' END, CASE WHEN n_empty > 0.72::DOUBLE * n_cells THEN 'mostly_empty_cells' END, CASE WHEN positions <> nrows * ncols THEN 'nonrectangular_grid' END,
   CASE WHEN covered > positions THEN 'overlapping_cells' END, CASE WHEN ncols < 2 THEN 'too_few_columns' END, CASE WHEN nrows < 2 THEN 'too_few_rows' END], lambda x: x IS NOT NULL)) AS issues FROM dims d JOIN spread USING (table_id))"""
@@ -41,7 +41,7 @@ def grid_check(spark, sf_dir):
     return grid.grid_check(c.cells(spark, sf_dir), KEYS).select("table_id", "nrows", "ncols", F.array_join("issues", ",").alias("issues"))
 
 
-@query(f"""WITH {c.CELLS}, {POSITIONS}, dims AS (SELECT table_id, max("row" + rowspan) AS nrows, max(col + colspan) AS ncols FROM v_cells GROUP BY table_id)
+@query(f"""WITH {c.CELLS}, {POSITIONS}, dims AS (SELECT table_id, CAST(max("row" + rowspan) AS BIGINT) AS nrows, CAST(max(col + colspan) AS BIGINT) AS ncols FROM v_cells GROUP BY table_id)
 SELECT table_id, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM dims, unnest(range(0, nrows)) a(i), unnest(range(0, ncols)) b(j) EXCEPT SELECT table_id, CAST(r AS INT), CAST(c AS INT) FROM pos""")
 def grid_fill(spark, sf_dir):
     return grid.grid_fill(c.cells(spark, sf_dir), KEYS)
