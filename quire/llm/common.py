@@ -91,28 +91,45 @@ def utf8_slices(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, n
         at = to
 
 
-def pointer_join(labels: DataFrame) -> DataFrame:
-    up = labels.select(F.col("node").alias("up"), F.col("comp").alias("up_comp"))
-    return labels.join(up, labels.comp == up.up, "left").select("node", F.least("comp", F.coalesce("up_comp", "comp")).alias("comp"))
+def _followed(parents: DataFrame) -> DataFrame:
+    """Every node's parent's parent."""
+    above = parents.select(F.col("node").alias("at"), F.col("up").alias("further"))
+    return parents.join(above, parents["up"] == above["at"], "left").select("node", F.coalesce("further", "up").alias("up"))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(node, comp): the smallest node reachable. edges: (a, b), in any order, repeats allowed.
+    """(node, comp): the smallest node reachable, for every node of an edge other than a loop.
 
-    Smallest labels travel along edges and then up the label of the label, so chains halve in every round.
-    Each round is one aggregation and two joins over a table written to the shared folder; nothing is
-    collected but the count of changed labels.
+    edges: (a, b), in any order, repeats allowed. In each round every node points to its smallest neighbour if
+    that is smaller, pointers are followed to their parents' parents, and edges are drawn between what they
+    point to; those within one vanish. Stars are done after one round, and chains shrink by more than half.
+    Only the question whether edges remain reaches the driver.
     """
-    both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(edges.select("b", "a")).where("src <> dst").distinct()
-    both = materialize(both, f"{name}-edges")
-    least = both.groupBy("src").agg(F.min("dst").alias("least"))
-    labels = materialize(least.select(F.col("src").alias("node"), F.least("least", "src").alias("comp")), name)
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = materialize(edges.where("a <> b").select(low, high).distinct(), f"{name}-edges")
+    labels = None
     while True:
-        heard = both.join(labels.select(F.col("node").alias("dst"), "comp"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("comp").alias("heard"))
-        new = pointer_join(labels.join(heard, "node").select("node", F.least("comp", "heard").alias("comp")))
-        old = labels.select("node", F.col("comp").alias("was"))
-        new = materialize(new.join(old, "node"), name)
-        changed = new.where("comp <> was").limit(1).count()
-        labels = new.select("node", "comp")
-        if not changed:
+        both = edges.union(edges.select("b", "a"))
+        nearest = both.groupBy("a").agg(F.min("b").alias("near"))
+        parents = materialize(nearest.select(F.col("a").alias("node"), F.least("a", "near").alias("up")), f"{name}-parents")
+        parents = materialize(_followed(parents), f"{name}-parents")
+        if labels is None:
+            labels = parents.select("node", F.col("up").alias("comp"))
+        else:
+            moved = parents.select(F.col("node").alias("comp"), "up")
+            labels = materialize(labels.join(moved, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), name)
+        of = lambda end: parents.select(F.col("node").alias(end), F.col("up").alias(f"up_{end}"))  # noqa: E731, B023
+        drawn = edges.join(of("a"), "a").join(of("b"), "b").where("up_a <> up_b").select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b"))
+        edges = materialize(drawn.distinct(), f"{name}-edges")
+        if edges.isEmpty():
             return labels
+
+
+def join_components(labels: DataFrame, links: DataFrame, name: str = "components") -> DataFrame:
+    """labels (node, comp) after further links (a, b); works on whole components, so only they travel."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    known = materialize(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("comp"))), name)
+    of = lambda end: known.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+    merged = components(between, name).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+    return materialize(known.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")), name)

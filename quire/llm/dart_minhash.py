@@ -9,11 +9,14 @@ a rank bound are thrown, about SIGNATURE * (ln SIGNATURE + 2) for any length of
 the texts that have an empty coordinate.
 
 Bands of ROWS coordinates give candidates. In each bucket all members are compared with the bucket's smallest
-id, the hub, and not with each other. What remains are members of one bucket that ended in different
-components; as distance (1 - similarity) obeys the triangle inequality, two of them can be linked only if
-their distances from the hub differ by no more than 1 - threshold. Exactly those pairs are compared as well.
-Comparison moves texts, not shingles: the hub's text once for every SALT members and each member's text
-once for each of its hubs, streamed through sorted partitions one text at a time.
+id, the hub, and not with each other; that settles most buckets. Where members of one bucket end in different
+components, the bucket is dealt out in blocks of bounded size and pairs of blocks, and each task compares the
+members of its two blocks at once, as a product of incidence matrices. Only links between components leave the
+task. So every pair that shares a bucket is either compared or known to be in one component.
+
+Comparison moves texts, not shingles: the hub's text once for every SALT members and each member's text once for
+each of its hubs, streamed through sorted partitions one text at a time; in buckets that stay open, once for
+each block of the bucket.
 
 Defined results: null and empty texts are linked with nothing. A text of fewer than five words is one shingle
 of all its words; one without words is one shingle of its characters. Equal shingle weights are always linked.
@@ -30,13 +33,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import components, free_name, id_and_text, materialize, per_batch, utf8_slices
+from quire.llm.common import components, free_name, id_and_text, join_components, materialize, per_batch, utf8_slices
 from quire.llm.textkit import U, mix, occurrence, shingles
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 5
 SIGNATURE = BANDS * ROWS
 SALT = 256
+#: most texts and units of weight in a block, and most entries of a matrix part
+BLOCK_TEXTS, BLOCK_UNITS, ENTRIES = 1024, 400_000, 4_000_000
 MASK = (1 << 64) - 1
 
 
@@ -136,14 +141,88 @@ def compare_with_hubs(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame
     members = pairs.join(salts, "hub").select("hub", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), "node", F.lit(1).alias("role"))
     hubs = salts.select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("hub").alias("node"), F.lit(0).alias("role"))
     need = materialize(members.unionByName(hubs), f"{name}-need")
-    rows = need.join(docs, need.node == docs.doc_id).select("hub", "salt", "role", "node", "text")
+    # a merge join at every size: what is moved must not depend on whether the ids happen to fit a broadcast
+    rows = docs.hint("merge").join(need, docs.doc_id == need.node).select("hub", "salt", "role", "node", "text")
     dealt = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role", "node")
     return materialize(dealt.mapInArrow(_compare, "hub long, node long, similarity double"), name)
 
 
+def block_similarities(rows: list[np.ndarray]) -> np.ndarray:
+    """The similarity of all pairs of unit sets: shared units by products of incidence matrices, part by part."""
+    n = len(rows)
+    sizes = np.array([len(r) for r in rows], np.float64)
+    values, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    text = np.repeat(np.arange(n), sizes.astype(int))
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    text, column = text[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    text, column = text[order], column[order]
+    both = np.zeros((n, n), np.float32)
+    width, total = max(1, ENTRIES // n), int(shared.sum())
+    for first in range(0, total, width):
+        at, to = np.searchsorted(column, (first, first + width))
+        part = np.zeros((n, min(width, total - first)), np.float32)
+        part[text[at:to], column[at:to] - first] = 1
+        both += part @ part.T
+    whole = sizes[:, None] + sizes[None, :] - both
+    return both / np.maximum(whole, 1)
+
+
+def _settle(threshold: float):
+    """Links between components of one group (band, low, high); rows are sorted by it."""
+
+    def links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        comps = np.array([r[1] for r in rows])
+        if len(rows) < 2 or (comps == comps[0]).all():
+            return
+        near = block_similarities([r[2] for r in rows]) >= threshold
+        a, b = np.nonzero(near & (comps[:, None] < comps[None, :]))
+        seen = set()
+        for i, j in zip(a.tolist(), b.tolist(), strict=True):
+            if (comps[i], comps[j]) not in seen:
+                seen.add((comps[i], comps[j]))
+                yield rows[i][0], rows[j][0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        for batch in batches:
+            lowered, found = pc.utf8_lower(batch.column("text")), []
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("band", "low", "high")), strict=True)):
+                if key != group:
+                    found += links(rows) if group else ()
+                    group, rows = key, []
+                rows.append((batch.column("node")[i].as_py(), batch.column("comp")[i].as_py(), text_units(lowered[i].as_py())))
+            yield _pairs(found)
+        if group:
+            yield _pairs(list(links(rows)))
+
+    return run
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def settle_open_buckets(shared: DataFrame, labels: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between components that share a bucket. shared: band, node, weight."""
+    placed = materialize(shared.join(labels, "node", "left").select("band", "node", "weight", F.coalesce("comp", "node").alias("comp")), "placed")
+    several = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("weight").alias("units")).where("lo <> hi and n > 2")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("units") / BLOCK_UNITS)).cast("int").alias("blocks")
+    left = placed.join(materialize(several.select("band", blocks), "open"), "band")
+    left = left.withColumn("block", F.pmod(F.xxhash64("node", "band"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = left.select("band", "node", "comp", "block", other).select("band", "node", "comp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    need = materialize(dealt, "open-need")
+    rows = docs.hint("merge").join(need, docs.doc_id == need.node).select("band", "low", "high", "node", "comp", "text")
+    rows = rows.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    return materialize(rows.mapInArrow(_settle(threshold), "a long, b long").distinct(), "settled")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id (smallest id of its component), rep_id (smallest id with the same
-    shingle weights), n_linked (other representatives found linked directly), kept (doc_id = class_id)."""
+    shingle weights), kept (doc_id = class_id)."""
     docs = id_and_text(docs, id_col, text_col)
     known = docs.where("doc_id is not null")
     signed = materialize(per_batch(known, _sign, "doc_id long, weight long, print_a long, print_b long, bands array<long>"), "signatures")
@@ -151,33 +230,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = ["weight", "print_a", "print_b"]
     reps = materialize(some.groupBy(*same).agg(F.min("doc_id").alias("rep_id")), "representatives")
     own = some.join(reps.withColumnRenamed("rep_id", "doc_id"), [*same, "doc_id"], "left_semi")
-    banded = own.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
+    banded = own.select(F.col("doc_id").alias("node"), "weight", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top").select("band", "hub")
-    shared = materialize(banded.join(hubs, "band").select("band", "hub", "node"), "buckets")
+    shared = materialize(banded.join(materialize(hubs, "hubs"), "band").select("band", "hub", "node", "weight"), "buckets")
     pairs = materialize(shared.where("hub <> node").select("hub", "node").distinct(), "candidates")
-    found = compare_with_hubs(pairs, known, "compared")
-    links = found.where(F.col("similarity") >= threshold).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    labels = components(links, "near")
-    # members of one bucket in different components, as far as the triangle inequality leaves them possible
-    placed = shared.join(labels, "node", "left").select("band", "hub", "node", F.coalesce("comp", "node").alias("comp"))
-    open_bands = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi and n > 2").select("band")
-    left = placed.join(open_bands, "band", "left_semi").where("hub <> node")
-    left = materialize(left.join(found, ["hub", "node"]).select("band", "node", "comp", (1 - F.col("similarity")).alias("away")), "unsettled")
-    other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "away")))
-    close = (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & (F.abs(F.col("away") - F.col("away_b")) <= 1 - threshold + 1e-9)
-    rest = left.join(other, "band").where(close).select(F.col("node").alias("hub"), F.col("node_b").alias("node")).distinct()
-    rest = materialize(rest, "rest")
-    if not rest.isEmpty():
-        more = compare_with_hubs(rest, known, "compared-rest").where(F.col("similarity") >= threshold)
-        links = materialize(links.union(more.select("hub", "node")), "links")
-        labels = components(links, "near")
-    degree = links.select("a", "b").union(links.select("b", "a")).groupBy(F.col("a").alias("rep_id")).agg(F.count(F.lit(1)).alias("n_linked"))
-    classes = reps.join(labels, reps.rep_id == labels.node, "left").join(degree, "rep_id", "left")
-    classes = classes.select(*same, "rep_id", F.coalesce("comp", "rep_id").alias("class_id"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"))
+    found = compare_with_hubs(pairs, known, "compared").where(F.col("similarity") >= threshold)
+    labels = components(found.select(F.col("hub").alias("a"), F.col("node").alias("b")), "near")
+    labels = join_components(labels, settle_open_buckets(shared, labels, known, threshold), "near")
+    classes = reps.join(labels, reps.rep_id == labels.node, "left").select(*same, "rep_id", F.coalesce("comp", "rep_id").alias("class_id"))
     classes = materialize(classes, "classes")
-    linked = some.select("doc_id", *same).join(classes, same).select("doc_id", "class_id", "rep_id", "n_linked")
-    alone = signed.where("weight = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("long").alias("n_linked"))
-    unknown = docs.where("doc_id is null").select("doc_id", *(F.lit(None).cast("long").alias(c) for c in ("class_id", "rep_id")), F.lit(0).cast("long").alias("n_linked"))
+    linked = some.select("doc_id", *same).join(classes, same).select("doc_id", "class_id", "rep_id")
+    alone = signed.where("weight = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"))
+    unknown = docs.where("doc_id is null").select("doc_id", *(F.lit(None).cast("long").alias(c) for c in ("class_id", "rep_id")))
     return linked.unionByName(alone).unionByName(unknown).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
