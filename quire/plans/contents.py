@@ -127,3 +127,12 @@ def nested_tables(spark, sf_dir):
     part = c.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("id"))
     links = part.where("id >= 4").select(F.floor(F.col("id") / 4).cast("long").alias("parent"), "id")
     return content.nested_tables(links, part.where("id % 16 = 1"))
+
+
+@query(f"""WITH {ITEMS}, units AS (SELECT conv_id, section + 1 AS number, list({{'type': type, 'text': text, 'level': CAST(level AS INT), 'format': format}} ORDER BY ord) AS content FROM items GROUP BY conv_id, section),
+docs AS (SELECT conv_id, list({{'type': 'section', 'number': number, 'content': content}} ORDER BY number) AS content FROM units GROUP BY conv_id)
+SELECT conv_id, CAST(to_json({{'schema_version': '1.0', 'source_format': 'docx', 'structure': 'sections', 'content': content, 'title': CASE WHEN conv_id % 3 > 0 THEN 'c' || conv_id END}}) AS VARCHAR) AS json FROM docs""")
+def content_documents(spark, sf_dir):
+    own = _items(spark, sf_dir).withColumn("number", F.col("section") + 1)
+    title = F.when(F.col("conv_id") % 3 > 0, F.concat(F.lit(" c"), F.col("conv_id").cast("string")))
+    return content.content_documents(own, ["conv_id"], "section", "docx", title)
