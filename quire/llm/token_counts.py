@@ -29,7 +29,7 @@ from quire.llm.common import id_and_text, per_batch
 
 MODEL, LIMIT = "piece_bpe_32k.model", 4096
 SPACE = "▁"
-CACHED, CACHED_LENGTH = 300_000, 64
+CACHED, CACHED_TOTALS, CACHED_LENGTH = 300_000, 1_000_000, 64
 
 
 class _Endings(dict):
@@ -146,7 +146,7 @@ class PrefixCounter:
                 cuts = [0, *(k for k in range(1, len(part)) if part[k - 1 : k + 1] not in self.joined), len(part)]
                 n = sum([self._total(part[a:b]) for a, b in pairwise(cuts)])
                 if len(part) <= CACHED_LENGTH:
-                    if len(totals) >= CACHED:
+                    if len(totals) >= CACHED_TOTALS:
                         totals.clear()
                     totals[part] = n
             total += n
@@ -158,7 +158,7 @@ class PrefixCounter:
         if n is None:
             n = self._table(segment)[-1]
             if len(segment) <= CACHED_LENGTH:
-                if len(self.inner) >= CACHED:
+                if len(self.inner) >= CACHED_TOTALS:
                     self.inner.clear()
                 self.inner[segment] = n
         return n
