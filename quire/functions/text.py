@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: every white space character, beyond the ASCII ones that a plain \\s covers
-SPACE = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+#: every white space character: the ASCII ones, the information separators, next line, and all Unicode separators
+SPACE = "[\\s\\x1c-\\x1f\\x85\\p{Z}]"
+NOT_SPACE = "[^" + SPACE[1:]
 REPLACEMENT = "�"
 
 
@@ -29,7 +30,7 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return without(F.coalesce(text, F.lit("")), SPACE) == ""
+    return ~F.coalesce(text, F.lit("")).rlike(NOT_SPACE)
 
 
 def collapse(text: Column) -> Column:

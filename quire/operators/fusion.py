@@ -1,14 +1,14 @@
 """Candidate regions: best overlaps, order-dependent fusion, near duplicates, ground-truth matching.
 
-What depends on the order of earlier choices runs as a grouped map per page, whose groups are small; all else
-is joins on the page with a geometric residual.
+What depends on the order of earlier choices is gathered per page (pages are small) and runs in Arrow batches of
+many pages; all else is joins on the page with a geometric residual.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,67 +89,83 @@ def fuse(items: list[tuple[int, str, Box]], threshold: float = MATCH_IOU) -> lis
     return sorted(regions, key=lambda r: (r.anchor[1], r.anchor[0]))
 
 
-FUSED = "candidate_id string, native_ids array<bigint>, detection_ids array<bigint>, x0 double, y0 double, x1 double, y1 double"
+def _per_group(rows: DataFrame, key: str, items: list[str], one: Callable, schema: list[tuple[str, pa.DataType]]) -> DataFrame:
+    """one(key, items...) gives the output tuples of each group; each of items is a gathered list of structs."""
+    gathered = rows.groupBy(key).agg(*[F.array_compact(F.collect_list(i)).alias(i) for i in items])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [row for group in zip(*(batch.column(c).to_pylist() for c in (key, *items)), strict=True) for row in one(*group)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, (_, kind) in enumerate(schema)], [n for n, _ in schema])
+
+    names = {pa.int64(): "bigint", pa.string(): "string", pa.float64(): "double", pa.bool_(): "boolean", pa.list_(pa.int64()): "array<bigint>"}
+    return gathered.mapInArrow(run, ", ".join(f"{n} {names[k]}" for n, k in schema))
+
+
+def _box_of(item: dict) -> Box:
+    return item["x0"], item["y0"], item["x1"], item["y1"]
+
+
+CORNERS = ("x0", "y0", "x1", "y1")
+BOX_COLUMNS = [f"box.{c} as {c}" for c in CORNERS]
+
+
+def _struct(*columns: str):
+    return F.struct(*[F.expr(c) for c in (*columns, *BOX_COLUMNS)])
 
 
 def candidate_fusion(items: DataFrame, page: str = "page", threshold: float = MATCH_IOU) -> DataFrame:
     """items: page, id, role, box of what may enter fusion. One row per candidate."""
-    flat = items.select(F.col(page).cast("long").alias("page"), F.col("id").cast("long").alias("id"), "role", *(F.col(f"box.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")))
+    own = items.select(F.col(page).cast("long").alias("page"), _struct("cast(id as bigint) as id", "role").alias("item"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = [(r.id, r.role, (r.x0, r.y0, r.x1, r.y1)) for r in pdf.itertuples(index=False)]
-        number = int(pdf["page"].iloc[0])
-        rows = [(number, f"p{number:04d}-candidate-{i:03d}", r.native, [d for d, _ in r.detected], *r.box) for i, r in enumerate(fuse(own, threshold), 1)]
-        return pd.DataFrame(rows, columns=["page", "candidate_id", "native_ids", "detection_ids", "x0", "y0", "x1", "y1"])
+    def one(number: int, rows: list[dict]) -> Iterator[tuple]:
+        for i, r in enumerate(fuse([(x["id"], x["role"], _box_of(x)) for x in rows], threshold), 1):
+            yield number, f"p{number:04d}-candidate-{i:03d}", r.native, [d for d, _ in r.detected], *r.box
 
-    return flat.groupBy("page").applyInPandas(run, f"page bigint, {FUSED}")
+    ids = pa.list_(pa.int64())
+    schema = [("page", pa.int64()), ("candidate_id", pa.string()), ("native_ids", ids), ("detection_ids", ids), *((c, pa.float64()) for c in CORNERS)]
+    return _per_group(own, "page", ["item"], one, schema)
 
 
 def near_duplicates(tables: DataFrame, page: str = "page") -> DataFrame:
     """tables: page, id, nrows, ncols, box. kept is false for a table that nearly equals an earlier kept one."""
-    flat = tables.select(F.col(page).cast("long").alias("page"), F.col("id").cast("long").alias("id"), "nrows", "ncols", *(F.col(f"box.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")))
+    own = tables.select(F.col(page).cast("long").alias("page"), _struct("cast(id as bigint) as id", "nrows", "ncols").alias("item"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list = []
-        out = []
-        for r in pdf.sort_values("id").itertuples(index=False):
-            box, size = (r.x0, r.y0, r.x1, r.y1), (r.nrows, r.ncols)
+    def one(number: int, rows: list[dict]) -> Iterator[tuple]:
+        kept: list[tuple[Box, tuple[int, int]]] = []
+        for r in sorted(rows, key=lambda x: x["id"]):
+            box, size = _box_of(r), (r["nrows"], r["ncols"])
             new = not any(s == size and _overlaps(box, b)[0] > SAME_TABLE for b, s in kept)
             if new:
                 kept.append((box, size))
-            out.append((r.page, r.id, new))
-        return pd.DataFrame(out, columns=["page", "id", "kept"])
+            yield number, r["id"], new
 
-    return flat.groupBy("page").applyInPandas(run, "page bigint, id bigint, kept boolean")
+    return _per_group(own, "page", ["item"], one, [("page", pa.int64()), ("id", pa.int64()), ("kept", pa.bool_())])
 
 
 def gt_match(truths: DataFrame, predictions: DataFrame, document: str = "doc") -> DataFrame:
     """truths: doc, id, page, box, prediction_id; predictions: doc, id, page, box. Each truth in its order takes the
     prediction it names, or the unused one of its page with the largest IoU if that is enough. One row per
     truth and per unused prediction (gt_id null)."""
-    cols = ["x0", "y0", "x1", "y1"]
-    side = lambda df, explicit: df.select(F.col(document).alias("doc"), "id", "page", explicit.cast("long").alias("prediction_id"), *(F.col(f"box.{c}").alias(c) for c in cols))
-
-    def run(key: tuple, t: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        free = {r.id: r for r in p.sort_values("id").itertuples(index=False)}
-        box = lambda r: (r.x0, r.y0, r.x1, r.y1)
-        out = []
-        for r in t.sort_values("id").itertuples(index=False):
-            found, near = None, None
-            if not pd.isna(r.prediction_id):
-                found = free.get(int(r.prediction_id))
+    doc = F.col(document).cast("long").alias("doc")
+    left = truths.select(doc, _struct("cast(id as bigint) as id", "page", "cast(prediction_id as bigint) as named").alias("truth"))
+    right = predictions.select(doc, _struct("cast(id as bigint) as id", "page").alias("found"))
+
+    def one(number: int, wanted: list[dict], offered: list[dict]) -> Iterator[tuple]:
+        free = {p["id"]: p for p in sorted(offered, key=lambda x: x["id"])}
+        for t in sorted(wanted, key=lambda x: x["id"]):
+            near = lambda p: _overlaps(_box_of(t), _box_of(p))[0]  # noqa: B023, E731
+            if t["named"] is not None:
+                best = free.get(t["named"])
             else:
-                same = [q for q in free.values() if q.page == r.page]
-                if same:
-                    best = max(same, key=lambda q: _overlaps(box(r), box(q))[0])
-                    found = best if _overlaps(box(r), box(best))[0] >= TRUTH_IOU else None
-            if found is not None:
-                free.pop(found.id)
-                near = _overlaps(box(r), box(found))[0]
-            out.append((key[0], r.id, found.id if found is not None else None, near))
-        out += [(key[0], None, q, None) for q in free]
-        frame = pd.DataFrame(out, columns=["doc", "gt_id", "pred_id", "iou"], dtype=object)
-        return frame
-
-    left, right = side(truths, F.col("prediction_id")), side(predictions, F.lit(None))
-    return left.groupBy("doc").cogroup(right.groupBy("doc")).applyInPandas(run, "doc bigint, gt_id bigint, pred_id bigint, iou double")
+                best = max((p for p in free.values() if p["page"] == t["page"]), key=near, default=None)
+                if best is not None and near(best) < TRUTH_IOU:
+                    best = None
+            if best is not None:
+                free.pop(best["id"])
+            yield number, t["id"], best and best["id"], best and near(best)
+        for p in free:
+            yield number, None, p, None
+
+    schema = [("doc", pa.int64()), ("gt_id", pa.int64()), ("pred_id", pa.int64()), ("iou", pa.float64())]
+    return _per_group(left.unionByName(right, allowMissingColumns=True), "doc", ["truth", "found"], one, schema)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import REPLACEMENT, SPACE, without
+from quire.functions.text import NOT_SPACE, REPLACEMENT, SPACE, without
 
 
 @dataclass(frozen=True)
@@ -24,19 +24,24 @@ def quality(words: Column, gate: Gate = Gate()) -> Column:
 
     The gate uses unrounded ratios. Blank words do not count.
     """
-    kept = F.filter(words, lambda w: without(w, SPACE) != "")
+    kept = F.filter(words, lambda w: w.rlike(NOT_SPACE))
     joined = without(F.array_join(kept, ""), SPACE)
-    visible = F.length(joined)
-    below = F.greatest(visible, F.lit(1)).cast("double")
-    printable = F.length(without(joined, "[\\p{C}\\p{Z}�]")) / below
-    semantic = F.length(without(joined, "[^\\p{L}\\p{N}]")) / below
-    replacement = (visible - F.length(F.replace(joined, F.lit(REPLACEMENT), F.lit("")))) / below
-    n = F.size(kept)
-    reliable = (visible >= gate.visible) & (n >= gate.words) & (printable >= gate.printable) & (semantic >= gate.semantic) & (replacement <= gate.replacement)
-    return F.struct(
-        visible.cast("long").alias("visible"), n.cast("long").alias("words"), printable.alias("printable_ratio"),
-        semantic.alias("semantic_ratio"), replacement.alias("replacement_ratio"), reliable.alias("reliable"),
-    )
+
+    def measured(own: Column) -> Column:
+        text, n = own.text, own.n
+        visible = F.length(text)
+        below = F.greatest(visible, F.lit(1)).cast("double")
+        printable = F.length(without(text, "[\\p{C}\\p{Z}�]+")) / below
+        semantic = F.length(without(text, "[^\\p{L}\\p{N}]+")) / below
+        replacement = (visible - F.length(F.replace(text, F.lit(REPLACEMENT), F.lit("")))) / below
+        reliable = (visible >= gate.visible) & (n >= gate.words) & (printable >= gate.printable) & (semantic >= gate.semantic) & (replacement <= gate.replacement)
+        return F.struct(
+            visible.cast("long").alias("visible"), n.cast("long").alias("words"), printable.alias("printable_ratio"),
+            semantic.alias("semantic_ratio"), replacement.alias("replacement_ratio"), reliable.alias("reliable"),
+        )
+
+    # an array of one, so that the joined text is made once and not for each measure
+    return F.transform(F.array(F.struct(joined.alias("text"), F.size(kept).alias("n"))), measured)[0]
 
 
 def route(pages: DataFrame, native: DataFrame, ocr: DataFrame, keys: list[str]) -> DataFrame:
