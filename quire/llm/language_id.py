@@ -25,10 +25,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import free_name, utf8_slices
+from quire.llm.common import free_name, per_batch, utf8_slices
 from quire.llm.textkit import U, mix
 
-DIMENSIONS, CLUSTERS, SAMPLE, ROUNDS, MARGIN = 4096, 4, 1500, 12, 0.5
+DIMENSIONS, CLUSTERS, SAMPLE, ROUNDS, MARGIN = 4096, 4, 1000, 12, 0.5
 UNKNOWN = "und"
 #: 0 white space and marks (one space), 1 digits as one, others themselves
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -98,44 +98,61 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
     return centre
 
 
-def fit(texts: list[str], languages: list[str], clusters: int = CLUSTERS) -> Model:
+def fit(raw: np.ndarray, length_class: np.ndarray, languages: list[str], clusters: int = CLUSTERS) -> Model:
+    """raw: the vectors of the training texts (scaled in place); length_class and languages of each."""
     names = sorted(set(languages))
     if not names:
         return Model([], np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), np.zeros(13))
-    column = pa.array(texts, pa.string())
-    raw = vectors(column)
-    idf = np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-    x = _scaled(raw * idf)
+    idf = np.log((1 + len(raw)) / (1 + np.count_nonzero(raw, axis=0))).astype(np.float32) + np.float32(0.1)
+    x = raw
+    x *= idf
+    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x))[:, None], 1e-12)
     y = np.array([names.index(v) for v in languages])
     parts = [_cluster(x[y == i], clusters) for i in range(len(names))]
     centroids, owner = np.concatenate(parts), np.repeat(np.arange(len(names)), [len(p) for p in parts])
-    near, size = (x @ centroids.T).max(axis=1), _length_class(column)
+    near = (x @ centroids.T).max(axis=1)
     floor, least = np.zeros(13), 1.0
     for c in range(12, -1, -1):  # shorter texts are less alike; where few were seen the bound of the next longer holds
-        if (size == c).sum() >= 20:
-            least = min(least, MARGIN * float(np.quantile(near[size == c], 0.01)))
+        if (length_class == c).sum() >= 20:
+            least = min(least, MARGIN * float(np.quantile(near[length_class == c], 0.01)))
         floor[c] = least if least < 1.0 else 0.0
-    floor[:5] = 0.0  # under 32 bytes, a few words; a few words or two says too little to be rejected
+    floor[:5] = 0.0  # under 32 bytes, a few words; a few words say too little to be rejected
     return Model(names, idf, centroids, owner, floor)
 
 
+def _packed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The vectors of texts as (places, half-precision values): a bounded number of bytes for any length of text."""
+    texts = batch.column("text")
+    out = []
+    for first in range(0, len(texts), 256):
+        for row in vectors(texts.slice(first, 256)):
+            at = np.flatnonzero(row).astype(np.uint16)
+            out.append(at.tobytes() + row[at].astype(np.float16).tobytes())
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(_length_class(texts), pa.int32()), pa.array(out, pa.binary())], ["doc_id", "lang", "size", "vector"])
+
+
 def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """Fit on at most about ``sample`` rows a language; only those reach the driver."""
+    """Fit on at most about ``sample`` rows a language; only their vectors reach the driver."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     own = own.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out("doc_id"))
     share = {r["lang"]: sample / r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not share:
-        return fit([], [])
+        return fit(np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), [])
     # a row is taken if its hash is below its language's share: no sort, no gathering of a large language
     turn = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) / 1_000_000.0
     bound = F.element_at(F.create_map(*[F.lit(v) for kv in sorted(share.items()) for v in kv]), F.col("lang"))
-    rows = own.where(turn < bound).select("doc_id", "text", "lang").collect()
-    rows.sort(key=lambda r: (r["lang"], r["doc_id"], r["text"]))
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    taken = per_batch(own.where(turn < bound).select("doc_id", "text", "lang"), _packed, "doc_id long, lang string, size int, vector binary")
+    rows = sorted(taken.collect(), key=lambda r: (r["lang"], r["doc_id"], r["vector"]))
+    raw = np.zeros((len(rows), DIMENSIONS), np.float32)
+    for i, r in enumerate(rows):
+        both = np.frombuffer(r["vector"], np.uint16)
+        at = both[: len(both) // 2]
+        raw[i, at] = both[len(at) :].view(np.float16)
+    return fit(raw, np.array([r["size"] for r in rows]), [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "") -> DataFrame:
