@@ -2,15 +2,15 @@
 
 A gear hash of the last 16 bytes marks boundaries, about one in SPACING bytes. A boundary depends on those
 bytes alone, so an insertion shifts boundaries without changing them, and two copies of a passage are cut alike
-from their 17th byte on. From every boundary a chunk reaches to the first boundary at least CHUNK bytes on. A
-chunk whose digest occurs in more than one document is repeated; overlapping and touching repeated chunks of a
-document make a span, and spans of at least SPAN characters are reported. With these figures a passage of over
-50 words is found but for a few in a thousand, and lines of a few words are left alone.
+from their 17th byte on. Two of three boundaries, chosen by the same hash, begin a chunk; it reaches to the first
+boundary at least CHUNK bytes on. A chunk whose digest occurs in more than one document is repeated; overlapping
+and touching repeated chunks of a document make a span. A passage of L bytes is missed with a probability of
+about exp(-(L - 160) / 24): for one of over 50 words a few in a thousand. Lines of a few words are left alone.
 
 Digests are counted per digest with partial sums on the map side and joined to their places; neither gathers a
 common passage in one task.
 
-Defined results: a null text is empty and has no spans; neither have texts shorter than CHUNK bytes. A passage
+Defined results: a null text is empty and has no spans; neither has a text of fewer than CHUNK bytes. A passage
 that repeats only within one document is not reported. Rows that repeat an id count as one document.
 """
 
@@ -24,16 +24,19 @@ from pyspark.sql import functions as F
 from quire.llm.common import free_name, id_and_text, materialize, per_batch, utf8_slices
 from quire.llm.textkit import GEAR_WINDOW, gear, span_hashes
 
-SPACING, CHUNK, SPAN = 16, 80, 110
+SPACING, BEGINS, CHUNK = 16, 3, 128
 
 
-def boundaries(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Positions of the boundaries of all texts of a buffer, their starts and ends included."""
-    cuts = np.flatnonzero((gear(data) >> np.uint32(16)) % np.uint32(SPACING) == 0) + 1
+def boundaries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the boundaries of all texts of a buffer, their starts and ends included; which begin a chunk."""
+    mark = gear(data) >> np.uint32(16)
+    cuts = np.flatnonzero(mark % np.uint32(SPACING) == 0) + 1
     cuts = cuts[cuts < len(data)]
     cuts = cuts[(data[cuts] & 0xC0) != 0x80]  # whole characters
-    begin = offsets[np.searchsorted(offsets, cuts, "right") - 1]
-    return np.unique(np.concatenate((cuts[cuts - begin >= GEAR_WINDOW], offsets)))
+    cuts = cuts[cuts - offsets[np.searchsorted(offsets, cuts, "right") - 1] >= GEAR_WINDOW]
+    begins = cuts[mark[cuts - 1] // np.uint32(SPACING) % np.uint32(BEGINS) != 0]
+    at = np.unique(np.concatenate((cuts, offsets)))
+    return at, np.isin(at, np.concatenate((begins, offsets[:-1])), kind="sort")
 
 
 def _chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -42,10 +45,10 @@ def _chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
     for first, offsets, data in utf8_slices(batch.column("text")):
         if not len(data):
             continue
-        at = boundaries(data, offsets)
+        at, begins = boundaries(data, offsets)
         to = np.searchsorted(at, at + CHUNK)
         own = np.searchsorted(offsets, at, "right") - 1
-        ok = to < len(at)
+        ok = begins & (to < len(at))
         ok[ok] = at[to[ok]] <= offsets[np.minimum(own[ok] + 1, len(offsets) - 1)]
         start, end, own = at[ok], at[to[ok]], own[ok]
         characters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
@@ -62,13 +65,14 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return per_batch(id_and_text(docs, id_col, text_col).where("doc_id is not null"), _chunks, "digest long, doc_id long, place long")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_span: int = SPAN) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_span: int = 1) -> DataFrame:
     """doc_id, span_start, span_end, first_doc_id, is_copy: one row per repeated span.
 
     first_doc_id is the smallest id that holds a part of the span; is_copy tells that it is another document.
     """
     found = chunks(docs, id_col, text_col)
     repeated = found.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last").drop("last")
+    repeated = materialize(repeated, "digests")  # read back, so that a common passage is split in the join
     places = materialize(found.join(repeated, "digest").select("doc_id", "first_doc_id", F.shiftright("place", 32).alias("s"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("e")), "repeated")
     order = Window.partitionBy("doc_id").orderBy("s", "e")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
