@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from quire.llm.common import id_and_text, materialize, per_batch
 
 TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, (0).to_bytes(4, "little")
-CACHED_CHUNKS, CACHED_WORDS, CACHED_LENGTH = 800_000, 800_000, 48
-#: words of Latin-1 letters and plain punctuation, which the tokenizer always separates from each other
-SEPARABLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+CACHED, CACHED_LENGTH = 800_000, 48
+#: words of Latin-1 letters and a run of other signs, which the tokenizer always separates from each other; not
+#: the apostrophe, which may begin a token with the letters after it, and the signs of special tokens
+SEPARABLE = re.compile(r'([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*+/=@^~()\[\]{}_"-]*)').fullmatch
 #: a stop or comma after a letter or digit begins a token of its own; after another sign it may not
 PLAIN_END, CROWDED = re.compile("(?<=[A-Za-z0-9À-ÖØ-öø-ÿ])(?=[.,])"), re.compile("[^A-Za-z0-9À-ÖØ-öø-ÿ \n][.,]").search
 
@@ -49,6 +50,12 @@ def chunks_of(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def _short(found: dict[str, bytes]) -> dict[str, bytes]:
+    if max(map(len, found), default=0) <= CACHED_LENGTH:
+        return found
+    return {c: v for c, v in found.items() if len(c) <= CACHED_LENGTH}
+
+
 class ChunkEncoder:
     """The tokenizer's ids of a text as bytes, put together from its space-separated chunks.
 
@@ -62,8 +69,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {"": b""}  # chunks, and the words and signs that they are made of
 
     def _ask(self, texts: list[str]) -> dict[str, bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -81,37 +87,34 @@ class ChunkEncoder:
 
     def _learn(self, unknown: set[str]) -> dict[str, bytes]:
         """Ids of chunks, kept only if short."""
-        if len(self.chunks) + len(unknown) > CACHED_CHUNKS:
-            self.chunks = {"": b""}
-        if len(self.words) + len(unknown) > CACHED_WORDS:
-            self.words = {"": b""}
-        words, new, hard, late = self.words, {}, [], []
-        known = words.get
+        if len(self.known) + len(unknown) > CACHED:
+            self.known = {"": b""}
+        known, new, hard, late = self.known, {}, [], []
         for c in unknown:
             if m := SEPARABLE(c):
                 w, p = m.groups()
                 w = w.lower()
-                if (ids := known(w)) is not None and (not p or p in words):
-                    new[c] = ids + words[p] if p else ids
+                if (ids := known.get(w)) is not None and (not p or p in known):
+                    new[c] = ids + known[p] if p else ids
                 else:
                     late.append((c, w, p))
             else:
                 hard.append(c)
         if late:
-            if ask := [*{w for _, w, _ in late if w not in words}]:
-                words.update(self._ask_words(ask))
-            if ask := [*{p for _, _, p in late if p not in words}]:
-                words.update(self._ask(ask))
+            got = self._ask_words(ask) if (ask := [*{w for _, w, _ in late if w not in known}]) else {}
+            if ask := [*{p for _, _, p in late if p not in known}]:
+                got.update(self._ask(ask))
             for c, w, p in late:
-                new[c] = words[w] + words[p]
+                new[c] = (got[w] if w in got else known[w]) + (got[p] if p in got else known[p])
+            known.update(_short(got))
         if hard:
             new.update(self._ask(hard))
-        self.chunks.update(new if max(map(len, new)) <= CACHED_LENGTH else {c: v for c, v in new.items() if len(c) <= CACHED_LENGTH})
+        known.update(_short(new))
         return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [chunks_of(t) for t in texts]
-        before = self.chunks
+        before = self.known
         unknown = set().union(*split).difference(before)
         find = (self._learn(unknown) if unknown else before).get
         out = []
