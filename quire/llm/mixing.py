@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.llm.common import free_name, materialize
+
 SEED, SLOTS, MISSING = "mix-1", 4096, "none"
 DOMAIN_WEIGHTS = {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}
 LANGUAGE_WEIGHTS = {"en": 4, "fr": 2, "de": 2, "es": 1}
@@ -79,11 +81,13 @@ def budgets(own: DataFrame, weights: tuple[dict[str, int], ...] = (DOMAIN_WEIGHT
     """domain, language, source, tokens, budget, whole (epochs), rest (tokens of the next epoch). own: leaves()."""
     leaf = own.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")).withColumn("supply", F.col("tokens") * epochs)
     path: list[str] = []
-    total = leaf.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * percent / 100).cast("long").alias("parent_budget"))
-    above = total
+    above = None
     for key, weight in zip(LEVELS, weights, strict=True):
-        nodes = leaf.groupBy(*path, key).agg(F.sum("supply").alias("supply")).withColumn("weight", _weight(key, weight))
-        nodes = nodes.join(above, path) if path else nodes.join(F.broadcast(above), F.lit(True))  # one row
+        nodes = leaf.groupBy(*path, key).agg(F.sum("supply").alias("supply"), F.sum("tokens").alias("tokens")).withColumn("weight", _weight(key, weight))
+        if above is None:  # the few domains share what the whole corpus has
+            nodes = nodes.withColumn("parent_budget", F.floor(F.sum("tokens").over(Window.partitionBy()) * percent / 100).cast("long"))
+        else:
+            nodes = nodes.join(above, path)
         dealt = _deal(nodes, path, key)
         path.append(key)
         above = dealt.select(*path, F.col("budget").alias("parent_budget"))
@@ -94,15 +98,15 @@ def budgets(own: DataFrame, weights: tuple[dict[str, int], ...] = (DOMAIN_WEIGHT
 
 def select(docs: DataFrame, seed: str = SEED, weights: tuple[dict[str, int], ...] = (DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, SOURCE_WEIGHTS), percent: int = BUDGET_PERCENT, epochs: int = EPOCHS, **columns: str) -> DataFrame:
     """doc_id, domain, language, source, n_tokens, copies: how often each document is taken, 0 included."""
-    own = leaves(docs, **columns)
-    plan = budgets(own, weights, percent, epochs)
+    own = materialize(leaves(docs, **columns), "leaves")  # texts are read once
+    plan = materialize(budgets(own, weights, percent, epochs), "budgets")  # its size is known, so joins with it are broadcast only if small, else split
     named = own.join(plan.select(*LEVELS, "whole", "rest"), list(LEVELS))
     placed = named.withColumn("turn", _turn(F.col("whole"), seed)).withColumn("slot", F.shiftright("turn", 20).cast("int"))
     sums = placed.groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("slot_tokens"), F.first("rest").alias("rest"))
     until = F.sum("slot_tokens").over(Window.partitionBy(*LEVELS).orderBy("slot"))
     edge = sums.withColumn("until", until).where("until > rest").groupBy(*LEVELS).agg(F.min(F.struct("slot", (F.col("until") - F.col("slot_tokens")).alias("before"))).alias("e"))
     edge = edge.select(*LEVELS, F.col("e.slot").alias("edge_slot"), F.col("e.before").alias("before"))
-    seen = placed.join(edge, list(LEVELS), "left")
+    seen = placed.join(materialize(edge, "edges"), list(LEVELS), "left")
     out = [*("doc_id", "domain", "language", "source", "n_tokens")]
     apart = seen.where("slot is not distinct from edge_slot")
     order = Window.partitionBy(*LEVELS, "slot").orderBy("turn", "doc_id", "n_tokens").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -115,9 +119,8 @@ def select(docs: DataFrame, seed: str = SEED, weights: tuple[dict[str, int], ...
 
 def keep_mixed(docs: DataFrame, seed: str = SEED, percent: int = 90) -> DataFrame:
     """docs cut to ``percent`` hundredths of their tokens by the weights, each document at most once; columns unchanged."""
-    taken = select(docs, seed, percent=percent, epochs=1).where("copies > 0").select(F.col("doc_id").alias("mixed_id"))
-    mark = "mixed_id" if "mixed_id" not in {c.lower() for c in docs.columns} else "mixed_id_of_" + "_".join(docs.columns)
-    taken = taken.withColumnRenamed("mixed_id", mark).distinct()
+    mark = free_name(docs, "mixed_id")
+    taken = select(docs, seed, percent=percent, epochs=1).where("copies > 0").select(F.col("doc_id").alias(mark)).distinct()
     return docs.join(taken, docs["doc_id"].cast("long").eqNullSafe(F.col(mark)), "left_semi")
 
 
