@@ -2,10 +2,11 @@
 
 A gear hash of the last 16 bytes marks boundaries, about one in SPACING bytes. A boundary depends on those
 bytes alone, so an insertion shifts boundaries without changing them, and two copies of a passage are cut alike
-from their 17th byte on. Two of three boundaries, chosen by the same hash, begin a chunk; it reaches to the first
-boundary at least CHUNK bytes on. A chunk whose digest occurs in more than one document is repeated; overlapping
-and touching repeated chunks of a document make a span. A passage of L bytes is missed with a probability of
-about exp(-(L - 160) / 24): for one of over 50 words a few in a thousand. Lines of a few words are left alone.
+from their 17th byte on. A stretch of WINDOW bytes without a boundary, as in a run of one repeated word, is cut
+where the hash is least, which depends on the bytes of the stretch alone. From every cut a chunk reaches to the
+first cut at least CHUNK bytes on. A chunk whose digest occurs in more than one document is repeated; overlapping
+and touching repeated chunks of a document make a span. The README has the measured share of missed passages by
+length. Lines of a few words are left alone.
 
 Digests are counted per digest with partial sums on the map side and joined to their places; neither gathers a
 common passage in one task.
@@ -24,19 +25,52 @@ from pyspark.sql import functions as F
 from quire.llm.common import free_name, id_and_text, materialize, per_batch, utf8_slices
 from quire.llm.textkit import GEAR_WINDOW, gear, span_hashes
 
-SPACING, BEGINS, CHUNK = 16, 3, 128
+SPACING, CHUNK, WINDOW = 16, 80, 64
+
+
+def _sliding(x: np.ndarray, n: int, pick) -> np.ndarray:
+    """pick over every n values in a row, n a power of two; n - 1 values shorter than x."""
+    step = 1
+    while step < n:
+        x = pick(x[:-step], x[step:])
+        step *= 2
+    return x
+
+
+def _forced(key: np.ndarray) -> np.ndarray:
+    """Where a key is the least of some WINDOW keys in a row, none of them 0; places with the largest key are no cuts.
+
+    Keys of periodic text are tied in every period; of cuts less than SPACING bytes apart every n-th is kept, so that
+    those kept are whole periods apart and chunks from them are alike.
+    """
+    if len(key) < WINDOW:
+        return np.zeros(0, np.int64)
+    least = _sliding(key, WINDOW, np.minimum)
+    edge = np.zeros(WINDOW - 1, key.dtype)
+    reach = _sliding(np.concatenate((edge, least, edge)), WINDOW, np.maximum)
+    found = np.flatnonzero((reach == key) & (key > 0) & (key < np.iinfo(key.dtype).max))
+    if not len(found):
+        return found
+    gap = np.diff(found, prepend=found[0] - SPACING, append=found[-1] + SPACING)
+    before, after = gap[:-1], gap[1:]
+    first = np.flatnonzero((before >= SPACING) | (before != after))
+    run = np.searchsorted(first, np.arange(len(found)), "right") - 1
+    return found[(np.arange(len(found)) - first[run]) % -(-SPACING // after[first][run]) == 0]
 
 
 def boundaries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the boundaries of all texts of a buffer, their starts and ends included; which begin a chunk."""
-    mark = gear(data) >> np.uint32(16)
-    cuts = np.flatnonzero(mark % np.uint32(SPACING) == 0) + 1
-    cuts = cuts[cuts < len(data)]
-    cuts = cuts[(data[cuts] & 0xC0) != 0x80]  # whole characters
-    cuts = cuts[cuts - offsets[np.searchsorted(offsets, cuts, "right") - 1] >= GEAR_WINDOW]
-    begins = cuts[mark[cuts - 1] // np.uint32(SPACING) % np.uint32(BEGINS) != 0]
+    """Positions of the cuts of all texts of a buffer, their starts and ends included; the text that each begins in."""
+    key = gear(data)
+    key = np.where((key >> np.uint32(16)) % np.uint32(SPACING) == 0, np.uint32(0), key | np.uint32(1))
+    never = np.iinfo(np.uint32).max
+    key[:-1][(data[1:] & 0xC0) == 0x80] = never  # whole characters
+    key[-1] = never
+    for i in range(-1, GEAR_WINDOW - 1):  # the hash of a text's first bytes reads the text before
+        at = offsets[:-1] + i
+        key[at[(at >= 0) & (at < len(key))]] = never
+    cuts = np.concatenate((np.flatnonzero(key == 0), _forced(key))) + 1
     at = np.unique(np.concatenate((cuts, offsets)))
-    return at, np.isin(at, np.concatenate((begins, offsets[:-1])), kind="sort")
+    return at, np.searchsorted(offsets, at, "right") - 1
 
 
 def _chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -45,10 +79,9 @@ def _chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
     for first, offsets, data in utf8_slices(batch.column("text")):
         if not len(data):
             continue
-        at, begins = boundaries(data, offsets)
+        at, own = boundaries(data, offsets)
         to = np.searchsorted(at, at + CHUNK)
-        own = np.searchsorted(offsets, at, "right") - 1
-        ok = begins & (to < len(at))
+        ok = to < len(at)
         ok[ok] = at[to[ok]] <= offsets[np.minimum(own[ok] + 1, len(offsets) - 1)]
         start, end, own = at[ok], at[to[ok]], own[ok]
         characters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))

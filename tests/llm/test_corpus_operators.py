@@ -179,6 +179,25 @@ def test_insertions_shift_boundaries_without_changing_them():
     assert far(a, 6) == far(b, 24) and len(far(a, 6)) > 100
 
 
+def test_short_and_periodic_passages():
+    """Passages of 225 bytes and runs of one word have a chunk that lies in the passage wherever they stand."""
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n))
+
+    def shared(passage):
+        pair = [(noise(rng.randint(50, 300)) + passage + noise(rng.randint(50, 300))).encode() for _ in range(2)]
+        sets = []
+        for raw in pair:
+            at = substring_dedup.boundaries(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+            to = np.searchsorted(at, at + substring_dedup.CHUNK)
+            sets.append({raw[at[i] : at[j]] for i, j in enumerate(to) if j < len(at)})
+        return bool(sets[0] & sets[1])
+
+    assert sum(shared(noise(225)) for _ in range(400)) >= 394
+    words = ["a", "ab", "word", "哈", "Straße", "nineteen letters or so"]
+    assert all(shared((w + sep) * (300 // len((w + sep).encode()))) for w in words for sep in ("", " ") for _ in range(20))
+
+
 def test_passages_of_awkward_tables(spark):
     df = docs_of(spark, awkward())
     got = substring_dedup.repeated_spans(df).collect()
