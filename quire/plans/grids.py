@@ -153,7 +153,7 @@ def metric_aggregate(spark, sf_dir):
 @query()
 def visual_grid(spark, sf_dir):
     """Rasters painted from box coordinates: every region with an odd id gets ruled lines, the others are blank."""
-    regions = c.regions(spark, sf_dir).where("id % 20 < 4")
+    regions = c.regions(spark, sf_dir)
     white, black = F.lit("FF"), F.lit("00")
     dark = F.repeat(black, 120)
     row = F.concat(F.repeat(F.concat(F.repeat(black, 3), F.repeat(white, 36)), 3), F.repeat(black, 3))
