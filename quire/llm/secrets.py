@@ -1,11 +1,12 @@
 """Secret scans: fixed patterns, and two character Markov models compared by log-likelihood ratio.
 
-The patterns give the base spans. Beside them every run of 20 to 200 characters of the base64 alphabet that
-holds a digit and letters is scored: how much likelier is it under a Markov model of random strings than under
+The patterns give the base spans. Beside them every run of 20 characters or more of the base64 alphabet that
+holds letters is scored: how much likelier is it under a Markov model of random strings than under
 one of ordinary identifiers? Both models are first order over characters and the start of the run, smoothed by
 single characters and by the uniform distribution, and trained on labelled samples: seeded random strings over
 the usual alphabets, and identifiers put together from ordinary word parts by the usual conventions. A run is
-added when the ratio a character reaches BAR and it overlaps no base span.
+added when the ratio a character reaches BAR and it overlaps no base span. Of a run of more than LONG characters
+that does not reach BAR as a whole, the windows of WINDOW characters that do are added, touching ones as one.
 
 Defined results: a null text is empty and has no spans. Offsets are code points, ends exclusive.
 """
@@ -29,7 +30,7 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")  # a run that is long enough; shorter ones would be dropped
 KEYWORD = re.compile("passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 CANDIDATE = re.compile("[A-Za-z0-9+/_=-]{20,}")
-LONGEST, BAR, SEED, SAMPLES = 200, 0.35, 20, 4000
+LONG, WINDOW, BAR, SEED, SAMPLES = 200, 50, 0.35, 20, 4000
 ALPHABETS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
 PARTS = """user name item count total index value list map key file path load save read write open close start stop
 next last first max min size length width height color style class type node edge graph table column row cell page
@@ -96,7 +97,19 @@ class Detector:
         return sum([ratio[framed[i : i + 2]] for i in range(len(run))]) / len(run)
 
     def __call__(self, run: str) -> bool:
-        return len(run) <= LONGEST and any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and self.score(run) >= self.bar
+        return any(c.isalpha() for c in run) and self.score(run) >= self.bar
+
+    def stretches(self, run: str) -> list[tuple[int, int]]:
+        """The parts of a run that are added: all of it, or windows of a long one."""
+        if self(run):
+            return [(0, len(run))]
+        out: list[tuple[int, int]] = []
+        if len(run) > LONG:
+            for at in [*range(0, len(run) - WINDOW, WINDOW // 2), len(run) - WINDOW]:
+                if self(run[at : at + WINDOW]):
+                    start = out.pop()[0] if out and at <= out[-1][1] else at
+                    out.append((start, at + WINDOW))
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -116,9 +129,10 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     added: list[Span] = []
     random_run = detector()
     for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        if random_run(m.group()) and not any(s < f and a < e for _, a, f in base):
-            added.append(("random", s, e))
+        for s, e in random_run.stretches(m.group()):
+            s, e = m.start() + s, m.start() + e
+            if not any(s < f and a < e for _, a, f in base):
+                added.append(("random", s, e))
     return base, added
 
 

@@ -243,6 +243,19 @@ def test_markov_ratio_separates_random_from_names():
     assert secrets.find("https://example.com/the_user_profile_page_2024")[1] == []
 
 
+def test_runs_of_any_length_are_scored():
+    rng = random.Random(7)
+    blob = "".join(rng.choice(secrets.ALPHABETS[3]) for _ in range(5000))
+    assert secrets.find(f"key {blob} end")[1] == [("random", 4, 5004)]
+    letters = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(40))
+    assert secrets.find(letters)[1] == [("random", 0, 40)]
+    names = "_".join(rng.choice(secrets.PARTS) for _ in range(400))
+    assert secrets.find(names)[1] == []
+    mixed = f"{names}/{blob[:300]}/{names}"
+    (kind, s, e), = secrets.find(mixed)[1]
+    assert abs(s - len(names)) <= secrets.WINDOW and abs(e - len(names) - 302) <= secrets.WINDOW
+
+
 def test_added_personal_kinds():
     base, added = personal_data.find("see https://ex-am.ple/a?b=1 iban DE89370400440532013000 account: 12345678 account manager")
     assert [k for k, _, _ in added] == ["url", "account", "account"]
