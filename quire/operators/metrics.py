@@ -144,27 +144,61 @@ def _align(n: int, m: int, reward) -> tuple[float, list[tuple[int, int]]]:
     return float(best[n, m]), pairs[::-1]
 
 
+def _alignment(a: list[list], b: list[list], alike) -> float:
+    """Rows are aligned by the best alignment of their cells, columns likewise; the score counts the cells of both."""
+    memo: dict = {}
+
+    def near(x: tuple, y: tuple) -> float:
+        if (x, y) not in memo:
+            memo[x, y] = alike(x, y)
+        return memo[x, y]
+
+    row_pairs = _align(len(a), len(b), lambda i, j: _align(len(a[0]), len(b[0]), lambda p, q: near(a[i][p], b[j][q]))[0])[1]
+    col_pairs = _align(len(a[0]), len(b[0]), lambda p, q: _align(len(a), len(b), lambda i, j: near(a[i][p], b[j][q]))[0])[1]
+    total = sum(near(a[i][p], b[j][q]) for i, j in row_pairs for p, q in col_pairs)
+    return 2 * total / (len(a) * len(a[0]) + len(b) * len(b[0]))
+
+
 def grid_similarity(truth: str, prediction: str) -> tuple[float, float]:
-    """GriTS for topology and content, by the factored alignment of the published method: rows are aligned by the
-    best alignment of their cells, columns likewise, and the score counts the cells of aligned rows and columns."""
+    """GriTS for topology and content, by the factored alignment of the published method."""
     a, b = _grid(cells(truth)), _grid(cells(prediction))
     if not a or not b or not a[0] or not b[0]:
         return 0.0, 0.0
+    return _alignment(a, b, lambda x, y: _box_iou(x[0], y[0])), _alignment(a, b, lambda x, y: _common(x[1], y[1]))
 
-    def score(alike) -> float:
-        memo: dict = {}
 
-        def near(x: tuple, y: tuple) -> float:
-            if (x, y) not in memo:
-                memo[x, y] = alike(x, y)
-            return memo[x, y]
-
-        row_pairs = _align(len(a), len(b), lambda i, j: _align(len(a[0]), len(b[0]), lambda p, q: near(a[i][p], b[j][q]))[0])[1]
-        col_pairs = _align(len(a[0]), len(b[0]), lambda p, q: _align(len(a), len(b), lambda i, j: near(a[i][p], b[j][q]))[0])[1]
-        total = sum(near(a[i][p], b[j][q]) for i, j in row_pairs for p, q in col_pairs)
-        return 2 * total / (len(a) * len(a[0]) + len(b) * len(b[0]))
-
-    return score(lambda x, y: _box_iou(x[0], y[0])), score(lambda x, y: _common(x[1], y[1]))
+def _shared(a: tuple | None, b: tuple | None) -> float:
+    """The common area of two boxes over that of the box around both, as the reference has it."""
+    if a is None or b is None:
+        return 0.0
+    both = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
+    around = (max(a[2], b[2]) - min(a[0], b[0])) * (max(a[3], b[3]) - min(a[1], b[1]))
+    return both / around if around > 0 else 0.0
+
+
+def grid_location(truth: list[tuple], prediction: list[tuple]) -> float | None:
+    """GriTS for location. Cells are (row, col, rowspan, colspan, box); None unless both sides have cells, all with boxes."""
+    if not truth or not prediction or any(c[4] is None for c in [*truth, *prediction]):
+        return None
+    grids = []
+    for found in (truth, prediction):
+        grid: list[list] = [[None] * max(c[1] + c[3] for c in found) for _ in range(max(c[0] + c[2] for c in found))]
+        for r, c, high, wide, place in found:
+            for i in range(r, r + high):
+                grid[i][c : c + wide] = [tuple(place)] * wide
+        grids.append(grid)
+    return _alignment(*grids, _shared)
+
+
+def grits_loc_scores(pairs: DataFrame, truth: str = "gt_cells", prediction: str = "pred_cells") -> DataFrame:
+    """pairs with grits_loc; truth and prediction are arrays of cells (row, col, rowspan, colspan, box)."""
+
+    @F.udf(T.DoubleType())
+    def score(a, b):
+        own = [[(c["row"], c["col"], c["rowspan"], c["colspan"], c["box"]) for c in x or ()] for x in (a, b)]
+        return grid_location(*own)
+
+    return pairs.withColumn("grits_loc", score(truth, prediction))
 
 
 def grits_scores(pairs: DataFrame, truth: str = "gt_html", prediction: str = "pred_html") -> DataFrame:
