@@ -9,8 +9,9 @@ under 1e-4 in 64 dimensions and 1e-3 in 1024 (measured on random pairs at cosine
 a key and share a label are compared by cosine in double precision.
 
 Equal vectors of a label are one class with a count, so copies are never paired. Only keys with several classes
-travel with vectors. The members of a key are streamed in sorted order; a key with more than BLOCK members is
-dealt out as pairs of blocks, each a group of its own. Exact link counts need every pair of a group compared, so
+travel with vectors. The members of a key are streamed in sorted order; a key with more members than
+half a task's fair share (at least LEAST_BLOCK, at most MOST_BLOCK) is dealt out as pairs of blocks, each a group
+of its own. Exact link counts need every pair of a group compared, so
 a vector goes to each pair of blocks of its own once: as many copies as there are blocks, which is the least
 possible with tasks of bounded memory. A pair that meets under several keys counts where the key is the least of
 them. Of the pairs below the threshold nothing leaves a task, of the others a count per class and the forest that
@@ -39,7 +40,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import components, materialize, per_batch
 from quire.llm.textkit import U, mix
 
-BLOCK, THRESHOLD = 2048, 0.98
+THRESHOLD = 0.98
+#: fewest and most members of a block
+LEAST_BLOCK, MOST_BLOCK = 256, 4096
 #: fewest and most hashes in a key; axes that a key should have for each vector of a label
 LEAST_HASHES, MOST_HASHES, ROOM = 2, 6, 16
 #: groups up to this many members are compared as lists of pairs, many groups at once
@@ -252,8 +255,8 @@ def _compare(threshold: float, kind: str, n: int):
     return run
 
 
-def similar(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept."""
+def similar(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, block: int | None = None) -> DataFrame:
+    """One row per vector: vec_id, n_links, component_id, kept. block: most members of a block, if not by the tasks' share."""
     kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
     every = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"), F.col(label_col).cast("string").alias("label"))
     n = every.where("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
@@ -264,7 +267,11 @@ def similar(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     placed = classes.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
     counted = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = placed.join(materialize(counted, "shared"), "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    counted = materialize(counted, "shared")
+    if block is None:
+        share = (counted.agg(F.sum("n")).first()[0] or 0) // (2 * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        block = min(MOST_BLOCK, max(LEAST_BLOCK, share))
+    shared = placed.join(counted, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     shared = shared.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(3)), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = shared.select("rep", "key", "block", other).select("rep", "key", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
