@@ -4,28 +4,42 @@ A gear hash of the last 16 bytes marks boundaries, about one in SPACING bytes. A
 bytes alone, so an insertion shifts boundaries without changing them, and two copies of a passage are cut alike
 from their 17th byte on. A stretch of WINDOW bytes without a boundary, as in a run of one repeated word, is cut
 where the hash is least, which depends on the bytes of the stretch alone. From every cut a chunk reaches to the
-first cut at least CHUNK bytes on. A chunk whose digest occurs in more than one document is repeated; overlapping
-and touching repeated chunks of a document make a span. The README has the measured share of missed passages by
-length. Lines of a few words are left alone.
+first cut at least CHUNK bytes on; the first cut with fewer bytes than that before the text's end begins a chunk
+that ends there, so the tail of a text and texts shorter than CHUNK are compared like all others. A chunk is known
+by a cryptographic digest of 128 bits (BLAKE2b of its bytes): two different chunks among 10^12 share one with a
+probability under 1e-14, and no one can make such a pair on purpose. A chunk whose digest occurs in more than one
+document is repeated, and the smallest id that holds it is its first holder. Overlapping and touching repeated
+chunks of a document make a passage, which is reported if it has ``min_span`` characters or more: one row for
+every first holder of its chunks, with the part of the passage that is made of them (parts can overlap).
+
+cut_copies takes out what another document holds first, so what is cut stays in its first holder or, where that
+part is cut there too, in a still earlier one: nothing is cut everywhere.
 
 Digests are counted per digest with partial sums on the map side and joined to their places; neither gathers a
 common passage in one task.
 
-Defined results: a null text is empty and has no spans; neither has a text of fewer than CHUNK bytes. A passage
-that repeats only within one document is not reported. Rows that repeat an id count as one document.
+Defined results: a null text is empty and has no spans. A text of any length is compared, however short or long.
+A passage that repeats only within one document is not reported. Rows that repeat an id count as one document, so
+equal texts under one id are no repeats; rows without an id hold nothing and have no spans (cut_copies leaves them
+as they are). Of equal texts the one of the smallest id is the first holder. An empty table gives an empty result.
+Columns besides id and text are ignored.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import free_name, id_and_text, materialize, per_batch, utf8_slices
-from quire.llm.textkit import GEAR_WINDOW, gear, span_hashes
+from quire.llm.textkit import GEAR_WINDOW, gear
 
 SPACING, CHUNK, WINDOW = 16, 80, 64
+#: characters of a passage that is worth reporting: some less than 50 short words, since a span may lack a few at either end
+MIN_SPAN = 170
 
 
 def _sliding(x: np.ndarray, n: int, pick) -> np.ndarray:
@@ -73,57 +87,76 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, np.searchsorted(offsets, at, "right") - 1
 
 
+def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and texts of the chunks of all texts of a buffer."""
+    at, own = boundaries(data, offsets)
+    to = np.searchsorted(at, at + CHUNK)
+    text_end = offsets[np.minimum(own + 1, len(offsets) - 1)]
+    whole = to < len(at)
+    whole[whole] = at[to[whole]] <= text_end[whole]
+    late = np.flatnonzero(~whole & (at < text_end))
+    tails = late[np.unique(own[late], return_index=True)[1]]
+    end = np.concatenate((at[to[whole]], text_end[tails]))
+    return np.concatenate((at[whole], at[tails])), end, np.concatenate((own[whole], own[tails]))
+
+
 def _chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
     ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
     digests, docs, places = [], [], []
     for first, offsets, data in utf8_slices(batch.column("text")):
         if not len(data):
             continue
-        at, own = boundaries(data, offsets)
-        to = np.searchsorted(at, at + CHUNK)
-        ok = to < len(at)
-        ok[ok] = at[to[ok]] <= offsets[np.minimum(own[ok] + 1, len(offsets) - 1)]
-        start, end, own = at[ok], at[to[ok]], own[ok]
+        start, end, own = cut(data, offsets)
+        raw = data.tobytes()
+        digests.append(b"".join([blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)]))
         characters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
         base = characters[offsets[own]]
-        digests.append(span_hashes(data, start, end).view(np.int64))
         docs.append(ids[first + own])
         places.append((characters[start] - base) << 32 | (characters[end] - base))
+    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
     cat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(cat(x)) for x in (digests, docs, places)], ["digest", "doc_id", "place"])
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (both[:, 0].copy(), both[:, 1].copy(), cat(docs), cat(places))], ["d1", "d2", "doc_id", "place"])
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """digest, doc_id, place (start << 32 | end, in characters) of every chunk."""
-    return per_batch(id_and_text(docs, id_col, text_col).where("doc_id is not null"), _chunks, "digest long, doc_id long, place long")
+    """d1, d2 (the digest), doc_id, place (start << 32 | end, in characters) of every chunk."""
+    return per_batch(id_and_text(docs, id_col, text_col).where("doc_id is not null"), _chunks, "d1 long, d2 long, doc_id long, place long")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_span: int = 1) -> DataFrame:
-    """doc_id, span_start, span_end, first_doc_id, is_copy: one row per repeated span.
+def _islands(spans: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Numbers the groups of overlapping or touching spans (s, e) of each key."""
+    order = Window.partitionBy(*keys).orderBy("s", "e")
+    reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = spans.withColumn("new", F.when(F.col("s") <= reach, 0).otherwise(1))
+    return new.withColumn(name, F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+
 
-    first_doc_id is the smallest id that holds a part of the span; is_copy tells that it is another document.
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_span: int = MIN_SPAN) -> DataFrame:
+    """doc_id, span_start, span_end, first_doc_id, is_copy: the parts of repeated passages, by their first holder.
+
+    is_copy tells that the first holder is another document.
     """
     found = chunks(docs, id_col, text_col)
-    repeated = found.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last").drop("last")
+    digest = ["d1", "d2"]
+    repeated = found.groupBy(*digest).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last").drop("last")
     repeated = materialize(repeated, "digests")  # read back, so that a common passage is split in the join
-    places = materialize(found.join(repeated, "digest").select("doc_id", "first_doc_id", F.shiftright("place", 32).alias("s"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("e")), "repeated")
-    order = Window.partitionBy("doc_id").orderBy("s", "e")
-    reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(F.col("s") <= reach, 0).otherwise(1)
-    islands = places.withColumn("new", new).withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = islands.groupBy("doc_id", "island").agg(F.min("s").alias("span_start"), F.max("e").alias("span_end"), F.min("first_doc_id").alias("first_doc_id"))
-    wide = spans.where(F.col("span_end") - F.col("span_start") >= min_span)
-    return wide.select("doc_id", "span_start", "span_end", "first_doc_id", (F.col("first_doc_id") < F.col("doc_id")).alias("is_copy"))
+    places = found.join(repeated, digest).select("doc_id", "first_doc_id", F.shiftright("place", 32).alias("s"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("e")).repartition("doc_id")
+    parts = _islands(places, ["doc_id", "first_doc_id"], "part").groupBy("doc_id", "first_doc_id", "part").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    passages = _islands(parts, ["doc_id"], "passage")
+    whole = Window.partitionBy("doc_id", "passage")
+    wide = passages.withColumn("size", F.max("e").over(whole) - F.min("s").over(whole)).where(F.col("size") >= min_span)
+    return wide.select("doc_id", F.col("s").alias("span_start"), F.col("e").alias("span_end"), "first_doc_id", (F.col("first_doc_id") < F.col("doc_id")).alias("is_copy"))
 
 
-def cut_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the spans that are copies taken out of the text; other columns and rows unchanged."""
+def cut_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_span: int = MIN_SPAN) -> DataFrame:
+    """docs without the text that another document holds first; other columns and rows unchanged."""
     mark, own = free_name(docs, "copied_id"), free_name(docs, "copied_spans")
-    spans = repeated_spans(docs, id_col, text_col).where("is_copy").groupBy(F.col("doc_id").alias(mark))
-    spans = spans.agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias(own))
+    copied = repeated_spans(docs, id_col, text_col, min_span).where("is_copy").select("doc_id", F.col("span_start").alias("s"), F.col("span_end").alias("e"))
+    merged = _islands(copied, ["doc_id"], "span").groupBy("doc_id", "span").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    spans = merged.groupBy(F.col("doc_id").alias(mark)).agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias(own))
     n = F.size(own)
-    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(own, lambda x: x["span_end"]))
-    ends = F.concat(F.transform(own, lambda x: x["span_start"]), F.array(F.length(text_col).cast("long")))
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(own, lambda x: x["e"]))
+    ends = F.concat(F.transform(own, lambda x: x["s"]), F.array(F.length(text_col).cast("long")))
     kept = F.transform(F.sequence(F.lit(0), n), lambda i: F.substring(F.col(text_col), F.get(starts, i).cast("int") + 1, (F.get(ends, i) - F.get(starts, i)).cast("int")))
     joined = docs.join(spans, docs[id_col].cast("long") == F.col(mark), "left")
     return joined.withColumn(text_col, F.when(F.col(own).isNull(), F.col(text_col)).otherwise(F.array_join(kept, ""))).select(*docs.columns)

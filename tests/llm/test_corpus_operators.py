@@ -188,9 +188,8 @@ def test_short_and_periodic_passages():
         pair = [(noise(rng.randint(50, 300)) + passage + noise(rng.randint(50, 300))).encode() for _ in range(2)]
         sets = []
         for raw in pair:
-            at = substring_dedup.boundaries(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
-            to = np.searchsorted(at, at + substring_dedup.CHUNK)
-            sets.append({raw[at[i] : at[j]] for i, j in enumerate(to) if j < len(at)})
+            start, end, _ = substring_dedup.cut(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+            sets.append({raw[a:b] for a, b in zip(start, end, strict=True) if b - a >= substring_dedup.CHUNK})
         return bool(sets[0] & sets[1])
 
     assert sum(shared(noise(225)) for _ in range(400)) >= 394
@@ -205,7 +204,55 @@ def test_passages_of_awkward_tables(spark):
     assert substring_dedup.repeated_spans(df.limit(0)).count() == 0
     cut = {r.doc_id: r.text for r in substring_dedup.cut_copies(df).where("doc_id in (7, 8, 9, 4)").collect()}
     assert cut[4] == "A b C" and cut[7] == dict(awkward())[7] and len(cut[8]) < 200 and cut[9].endswith("end")
-    assert substring_dedup.cut_copies(df).columns == df.columns
+    again = substring_dedup.cut_copies(df)
+    assert again.columns == df.columns and again.count() == df.count()
+
+
+def test_short_texts_and_tails_are_compared(spark):
+    noise = [" ".join(f"{w}{i}x{k * 7919 % 1000}" for k in range(40)) for i, w in enumerate("abcdef")]
+    rows = [(1, "one short text"), (2, "one short text"), (3, "another"), (4, noise[0] + " and the very same end of it"), (5, noise[1] + " and the very same end of it")]
+    got = {(r.doc_id, r.first_doc_id): (r.span_start, r.span_end) for r in substring_dedup.repeated_spans(docs_of(spark, rows), min_span=1).collect()}
+    assert got[2, 1] == (0, 14) and not any(d == 3 for d, _ in got)
+    assert substring_dedup.repeated_spans(docs_of(spark, rows)).count() == 0
+    raw = [t.encode() for _, t in rows]
+    start, end, own = substring_dedup.cut(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    covered = np.zeros(sum(map(len, raw)), bool)
+    for a, b in zip(start, end, strict=True):
+        covered[a:b] = True
+    assert covered.all() and set(own) == set(range(5))
+
+
+def test_cut_text_stays_somewhere(spark):
+    """Holders of several parts of a passage: what is cut from one document stays in an earlier one."""
+    word = [f"w{i}of{i * i % 977}" for i in range(501)]
+    rows = [(2, " ".join(word[1:301])), (5, " ".join(word[1:501])), (9, " ".join(word[201:501]))]
+    spans = substring_dedup.repeated_spans(docs_of(spark, rows)).collect()
+    assert {(r.doc_id, r.first_doc_id, r.is_copy) for r in spans} == {(2, 2, False), (5, 2, True), (5, 5, False), (9, 2, True), (9, 5, True)}
+    cut = {r.doc_id: r.text for r in substring_dedup.cut_copies(docs_of(spark, rows)).collect()}
+    assert cut[2] == rows[0][1]
+    left = {w for t in cut.values() for w in t.split(" ")}
+    assert set(word[1:]) <= left and len(cut[5]) < 0.6 * len(rows[1][1]) and len(cut[9]) < 0.2 * len(rows[2][1])
+
+
+def test_repeated_spans_equal_brute_force(spark, data):
+    """Against all runs of 51 words that two documents share: they lie in spans, and spans are verbatim in the first holder."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
+    holders = defaultdict(set)
+    runs = {d: [(m.start(), m.end()) for m in re.finditer(r"\S+", t)] for d, t in texts.items()}
+    for d, t in texts.items():
+        for i in range(len(runs[d]) - 50):
+            holders[t[runs[d][i][0] : runs[d][i + 50][1]]].add(d)
+    want = {d for ids in holders.values() if len(ids) > 1 for d in ids}
+    got = queries()["op8_gear_passages"](spark, data).collect()
+    found = {r.doc_id for r in got}
+    assert len(want) > 20 and len(want & found) >= 0.98 * len(want)
+    for r in got:
+        assert texts[r.doc_id][r.span_start : r.span_end] in texts[r.first_doc_id] or len(texts[r.doc_id][r.span_start : r.span_end]) > substring_dedup.CHUNK
+        chunk = texts[r.doc_id][r.span_start : r.span_end][:40]
+        assert chunk in texts[r.first_doc_id] and sum(chunk in t for t in texts.values()) > 1
+        assert r.is_copy == (r.first_doc_id < r.doc_id)
+    clean = set(texts) - want
+    assert len(clean - found) >= 0.93 * len(clean)
 
 
 # ---- embeddings
