@@ -22,31 +22,58 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set (tests on one machine)."""
+    """The cluster's checkpoint folder. Only on one machine, as in tests, may it be unset: a temporary folder is taken then."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{tempfile.gettempdir()}/quire-checkpoint"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back. The table is removed when the driver ends."""
+    """Write df to the shared folder and read it back. The table is removed when it is released or the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not _written:
         atexit.register(_remove_written)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quire_path = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more."""
+    for path in (t._quire_path for t in tables):
+        for entry in [e for e in _written if e[1] == path]:
+            _written.remove(entry)
+            _remove(*entry)
+
+
+def release_since(mark: int, *kept: DataFrame) -> None:
+    """Remove what was written since written_tables() was mark, but for the tables kept."""
+    paths = {t._quire_path for t in kept}
+    for entry in [e for e in _written[mark:] if e[1] not in paths]:
+        _written.remove(entry)
+        _remove(*entry)
+
+
+def written_tables() -> int:
+    return len(_written)
 
 
 def _remove_written() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _remove(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone at exit; the folder is then the cluster's to clear
             return
 
@@ -73,6 +100,7 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
     return df.mapInArrow(run, schema)
 
@@ -111,17 +139,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         both = edges.union(edges.select("b", "a"))
         nearest = both.groupBy("a").agg(F.min("b").alias("near"))
-        parents = materialize(nearest.select(F.col("a").alias("node"), F.least("a", "near").alias("up")), f"{name}-parents")
-        parents = materialize(_followed(parents), f"{name}-parents")
+        nearest = materialize(nearest.select(F.col("a").alias("node"), F.least("a", "near").alias("up")), f"{name}-parents")
+        parents = materialize(_followed(nearest), f"{name}-parents")
+        before = labels
         if labels is None:
-            labels = parents.select("node", F.col("up").alias("comp"))
+            labels = materialize(parents.select("node", F.col("up").alias("comp")), name)
         else:
             moved = parents.select(F.col("node").alias("comp"), "up")
             labels = materialize(labels.join(moved, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), name)
+            release(before)
         of = lambda end: parents.select(F.col("node").alias(end), F.col("up").alias(f"up_{end}"))  # noqa: E731, B023
         drawn = edges.join(of("a"), "a").join(of("b"), "b").where("up_a <> up_b").select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b"))
-        edges = materialize(drawn.distinct(), f"{name}-edges")
+        left = materialize(drawn.distinct(), f"{name}-edges")
+        release(edges, nearest, parents)
+        edges = left
         if edges.isEmpty():
+            release(edges)
             return labels
 
 

@@ -10,17 +10,25 @@ the texts that have an empty coordinate.
 
 Bands of ROWS coordinates give candidates. In each bucket all members are compared with the bucket's smallest
 id, the hub, and not with each other; that settles most buckets. Where members of one bucket end in different
-components, the bucket is dealt out in blocks of bounded size and pairs of blocks, and each task compares the
-members of its two blocks at once, as a product of incidence matrices. Only links between components leave the
-task. So every pair that shares a bucket is either compared or known to be in one component.
+components, the distances to the hub rule out most of the rest: 1 - similarity is a metric, so two members whose
+distances to the hub differ by more than 1 - threshold are not linked. Members that no distance rules out against
+some member of another component are dealt out in blocks of bounded size and pairs of blocks, and each task
+compares the members of its two blocks at once, as a product of incidence matrices. Buckets with the same members
+left are settled once. Only links between components leave the task. So every pair that shares a bucket is
+compared, ruled out by its distances, or known to be in one component.
 
 Comparison moves texts, not shingles: the hub's text once for every SALT members and each member's text once for
-each of its hubs, streamed through sorted partitions one text at a time; in buckets that stay open, once for
-each block of the bucket.
+each of its hubs, streamed through sorted partitions; in buckets that stay open, once for each block of the
+members that are left. Those that lie at like distances from the hub and from each other, all below the threshold,
+are the only ones whose comparison grows with the square of their number, since no pair of them can be skipped
+without losing links.
 
 Defined results: null and empty texts are linked with nothing. A text of fewer than five words is one shingle
-of all its words; one without words is one shingle of its characters. Equal shingle weights are always linked.
-Rows that repeat an id count as one document. Columns besides id and text are ignored.
+of all its words; one without words is one shingle of its characters. A very long text is signed, moved and
+compared whole, alone in its slice. Equal shingle weights are always linked. Rows that repeat an id are taken
+for one document: what is linked to one of their texts is linked to the id, and each row has the class of its own
+text. Rows without an id are never compared: their class and representative are null, and they are kept. Ties do not occur: the
+smallest id names a class and stays. An empty table gives an empty result. Columns besides id and text are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import components, free_name, id_and_text, join_components, materialize, per_batch, utf8_slices
@@ -40,6 +48,8 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 5
 SIGNATURE = BANDS * ROWS
 SALT = 256
+#: distances to a hub are told apart in this many steps
+STEPS = 50
 #: most texts and units of weight in a block, and most entries of a matrix part
 BLOCK_TEXTS, BLOCK_UNITS, ENTRIES = 1024, 400_000, 4_000_000
 MASK = (1 << 64) - 1
@@ -107,13 +117,18 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, ["doc_id", "weight", "print_a", "print_b", "bands"])
 
 
-def text_units(text: str) -> np.ndarray:
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    return np.sort(units(raw, np.array([0, len(raw)]))[1])
+def text_units(texts: pa.Array) -> list[np.ndarray]:
+    """The sorted units of each text."""
+    out: list[np.ndarray] = []
+    for _, offsets, data in utf8_slices(pc.utf8_lower(texts), 1 << 20):
+        doc, key = units(data, offsets)
+        out += [np.sort(x) for x in np.split(key, np.searchsorted(doc, np.arange(1, len(offsets) - 1)))]
+    return out
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    at = np.searchsorted(a, b) if len(a) else np.zeros(0, np.int64)
+    both = int((a[np.minimum(at, len(a) - 1)] == b).sum()) if len(a) and len(b) else 0
     whole = len(a) + len(b) - both
     return both / whole if whole else 0.0
 
@@ -122,10 +137,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (hub, salt, role): each hub's text precedes its members'."""
     hub, own = None, np.zeros(0, U)
     for batch in batches:
-        lowered = pc.utf8_lower(batch.column("text"))
         a, b, s = [], [], []
-        for i, (h, node, role) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hub", "node", "role")), strict=True)):
-            mine = text_units(lowered[i].as_py())
+        for h, node, role, mine in zip(*(batch.column(c).to_pylist() for c in ("hub", "node", "role")), text_units(batch.column("text")), strict=True):
             if role == 0:
                 hub, own = h, mine
             elif h == hub:
@@ -188,12 +201,13 @@ def _settle(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows = None, []
         for batch in batches:
-            lowered, found = pc.utf8_lower(batch.column("text")), []
-            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("band", "low", "high")), strict=True)):
+            found = []
+            columns = [batch.column(c).to_pylist() for c in ("band", "low", "high", "node", "comp")]
+            for *key, node, comp, mine in zip(*columns, text_units(batch.column("text")), strict=True):
                 if key != group:
                     found += links(rows) if group else ()
                     group, rows = key, []
-                rows.append((batch.column("node")[i].as_py(), batch.column("comp")[i].as_py(), text_units(lowered[i].as_py())))
+                rows.append((node, comp, mine))
             yield _pairs(found)
         if group:
             yield _pairs(list(links(rows)))
@@ -205,13 +219,31 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def settle_open_buckets(shared: DataFrame, labels: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between components that share a bucket. shared: band, node, weight."""
-    placed = materialize(shared.join(labels, "node", "left").select("band", "node", "weight", F.coalesce("comp", "node").alias("comp")), "placed")
-    several = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("weight").alias("units")).where("lo <> hi and n > 2")
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("units") / BLOCK_UNITS)).cast("int").alias("blocks")
-    left = placed.join(materialize(several.select("band", blocks), "open"), "band")
-    left = left.withColumn("block", F.pmod(F.xxhash64("node", "band"), "blocks").cast("int"))
+def open_members(shared: DataFrame, labels: DataFrame, compared: DataFrame, threshold: float) -> DataFrame:
+    """band, node, weight, comp of the members that may be linked to a member of another component of their bucket.
+
+    Distances to the hub are counted in STEPS; a member is left if another component has one within 1 - threshold of
+    it. Of buckets with the same members left one stays.
+    """
+    step = F.floor((1 - F.coalesce("similarity", F.lit(1.0))) * STEPS).cast("int")  # the hub itself is at 0
+    near = shared.join(compared, ["hub", "node"], "left").join(labels, "node", "left")
+    placed = materialize(near.select("band", "node", "weight", F.coalesce("comp", "node").alias("comp"), step.alias("step")), "placed")
+    reach = int((1 - threshold) * STEPS) + 1
+    around = Window.partitionBy("band").orderBy("step").rangeBetween(-reach, reach)
+    rings = placed.groupBy("band", "step").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    rings = rings.select("band", "step", F.min("lo").over(around).alias("lo"), F.max("hi").over(around).alias("hi")).where("lo <> hi")
+    left = placed.join(materialize(rings, "rings"), ["band", "step"])
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"x{salt}") for salt in (1, 2)]
+    members = left.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("units"), *prints)
+    once = members.where("n > 1").groupBy("n", "units", "x1", "x2").agg(F.min("band").alias("band")).select("band", "n", "units")
+    return left.select("band", "node", "comp").join(materialize(once, "open"), "band")
+
+
+def settle_open_buckets(shared: DataFrame, labels: DataFrame, compared: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between components that share a bucket. shared: band, hub, node, weight."""
+    left = open_members(shared, labels, compared, threshold)
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("units") / BLOCK_UNITS)).cast("int")
+    left = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", "band"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = left.select("band", "node", "comp", "block", other).select("band", "node", "comp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     need = materialize(dealt, "open-need")
@@ -234,9 +266,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top").select("band", "hub")
     shared = materialize(banded.join(materialize(hubs, "hubs"), "band").select("band", "hub", "node", "weight"), "buckets")
     pairs = materialize(shared.where("hub <> node").select("hub", "node").distinct(), "candidates")
-    found = compare_with_hubs(pairs, known, "compared").where(F.col("similarity") >= threshold)
+    compared = compare_with_hubs(pairs, known, "compared")
+    found = compared.where(F.col("similarity") >= threshold)
     labels = components(found.select(F.col("hub").alias("a"), F.col("node").alias("b")), "near")
-    labels = join_components(labels, settle_open_buckets(shared, labels, known, threshold), "near")
+    labels = join_components(labels, settle_open_buckets(shared, labels, compared, known, threshold), "near")
     classes = reps.join(labels, reps.rep_id == labels.node, "left").select(*same, "rep_id", F.coalesce("comp", "rep_id").alias("class_id"))
     classes = materialize(classes, "classes")
     linked = some.select("doc_id", *same).join(classes, same).select("doc_id", "class_id", "rep_id")

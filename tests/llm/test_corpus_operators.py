@@ -108,6 +108,17 @@ def test_large_groups_of_near_copies(spark):
     assert got == near_components(rows)
 
 
+def test_distances_to_the_hub_rule_out_members(spark):
+    """A large component near the hub, and others of which only one is near enough to some of its members."""
+    far = {1: 0.0, **{i: 0.01 for i in range(2, 50)}, **{i: 0.15 for i in range(50, 100)}, 200: 0.3, 300: 0.9}
+    comp = {i: 1 if i < 100 else i for i in far}
+    shared = spark.createDataFrame([(b, 1, i, 10) for b in (7, 8) for i in far], "band long, hub long, node long, weight long")
+    compared = spark.createDataFrame([(1, i, 1 - d) for i, d in far.items() if i != 1], "hub long, node long, similarity double")
+    labels = spark.createDataFrame([(i, c) for i, c in comp.items()], "node long, comp long")
+    left = dart_minhash.open_members(shared, labels, compared, 0.8).collect()
+    assert {r.node for r in left} == {*range(50, 100), 200} and {r.band for r in left} == {7}
+
+
 def test_near_groups_of_awkward_tables(spark):
     rows = [r for r in awkward() if r[0] is not None]
     df = docs_of(spark, awkward())
