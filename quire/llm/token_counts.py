@@ -7,21 +7,26 @@ is decided once a pair. One pass gives the count of tokens of every prefix, so "
 and "how many characters fit n tokens" are look-ups.
 
 Merges never cross a place whose two characters no vocabulary entry holds side by side; a text is cut there
-and the tables of its segments are added up. Tables of frequent segments are kept in a bounded cache.
-
-Counts equal the library's encoding of each prefix (no begin, end or added tokens). Null texts are empty and
-have no tokens; characters outside the vocabulary count their UTF-8 bytes.
+and the tables of its segments follow each other. The table of a text is stored as one signed byte a character, by
+how much the count changes there, and every answer comes from it: the count of the whole text is the sum, the
+longest prefix within a budget ends before the running sum first exceeds it. Tables of frequent segments are kept
+in a bounded cache.
+
+Counts equal the library's encoding of each prefix (no begin, end or added tokens). Defined results: a null text is
+empty and has an empty table, no tokens and a prefix of 0 characters; characters outside the vocabulary count their
+UTF-8 bytes. A very long text has a table as long as itself and is handled alone. Rows that repeat an id, and rows
+without one, are counted each for itself. An empty table gives an empty result. Columns besides id and text are
+ignored.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
-from bisect import bisect_right
 from collections import defaultdict
 from functools import lru_cache
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -29,7 +34,7 @@ from quire.llm.common import id_and_text, per_batch
 
 MODEL, LIMIT = "piece_bpe_32k.model", 4096
 SPACE = "▁"
-CACHED, CACHED_TOTALS, CACHED_LENGTH = 300_000, 1_000_000, 64
+CACHED, CACHED_LENGTH = 500_000, 64
 
 
 class _Endings(dict):
@@ -54,10 +59,11 @@ class PrefixCounter:
         if sp.normalize("A  Åﬁ½") != f"{SPACE}A{SPACE}{SPACE}Åﬁ½" or any(b[1] == SPACE != b[0] for b in self.joined):
             raise ValueError("the model rewrites texts or joins words; segments would not be independent")
         self.segments = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
+        if max(map(len, self.score)) > 120:
+            raise ValueError("a count could change by more than a byte holds")
         self.neighbours: dict[tuple[str, str], bool] = {}
-        self.tables: dict[str, array] = {}
-        self.totals: dict[str, int] = {}
-        self.inner: dict[str, int] = {}
+        self.known: dict[str, bytes] = {}
+        self.inner: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> list[str]:
         """Plain merging of a short string: best score first, leftmost among equals."""
@@ -75,13 +81,16 @@ class PrefixCounter:
 
     def _may_follow(self, left: str, right: str) -> bool:
         found = self._encode(left + right) == [left, right]
-        if len(self.neighbours) > 4 * CACHED:
+        if len(self.neighbours) > 2 * CACHED:
             self.neighbours.clear()
         self.neighbours[left, right] = found
         return found
 
-    def _table(self, segment: str) -> array:
-        """Counts of tokens of segment[:i] for each i from 0."""
+    def _changes(self, segment: str) -> bytes:
+        """By how much the count of tokens of segment[:i] changes at each i from 1; merges are possible everywhere."""
+        found = self.inner.get(segment)
+        if found is not None:
+            return found
         score, endings, known = self.score, self.endings, self.neighbours.get
         counts, last = [0], [None]
         for i in range(1, len(segment) + 1):
@@ -104,73 +113,46 @@ class PrefixCounter:
                 raise AssertionError(f"no token ends at {i} of {segment!r}")
             counts.append(counts[j] + 1)
             last.append(piece)
-        return array("i", counts)
-
-    def table(self, segment: str) -> array:
-        """The table of a segment, put together from the parts between which no merge is possible."""
-        found = self.tables.get(segment)
-        if found is None:
-            cuts = [k for k in range(1, len(segment)) if segment[k - 1 : k + 1] not in self.joined]
-            if cuts:
-                found = array("i", [0])
-                for a, b in zip([0, *cuts], [*cuts, len(segment)], strict=True):
-                    base = found[-1]
-                    found.extend([base + c for c in self.table(segment[a:b])[1:]])
-            else:
-                found = self._table(segment)
-            if len(segment) <= CACHED_LENGTH:
-                if len(self.tables) >= CACHED:
-                    self.tables.clear()
-                self.tables[segment] = found
+        found = bytes([(b - a) & 255 for a, b in pairwise(counts)])
+        if len(segment) <= CACHED_LENGTH:
+            if len(self.inner) >= CACHED:
+                self.inner.clear()
+            self.inner[segment] = found
         return found
 
-    def _parts(self, text: str) -> list[str]:
-        return self.segments(SPACE + text.replace(" ", SPACE)) if text else []
-
-    def prefixes(self, text: str) -> array:
-        """Token counts of text[:p] for p = 0..len(text)."""
-        out = array("i", [0])
-        for part in self._parts(text):
-            base = out[-1]
-            out.extend([base + c for c in self.table(part)[1:]])
-        if len(out) > 1:
-            out.pop(1)  # the first segment begins with the space that the library puts before a text
-        return out
-
-    def count(self, text: str) -> int:
-        """The last entry of prefixes(text), without writing out the others."""
-        total, totals = 0, self.totals
-        for part in self._parts(text):
-            n = totals.get(part)
-            if n is None:
-                cuts = [0, *(k for k in range(1, len(part)) if part[k - 1 : k + 1] not in self.joined), len(part)]
-                n = sum([self._total(part[a:b]) for a, b in pairwise(cuts)])
-                if len(part) <= CACHED_LENGTH:
-                    if len(totals) >= CACHED_TOTALS:
-                        totals.clear()
-                    totals[part] = n
-            total += n
-        return total
-
-    def _total(self, segment: str) -> int:
-        """The last entry of the table of a segment in which merges are possible everywhere."""
-        n = self.inner.get(segment)
-        if n is None:
-            n = self._table(segment)[-1]
-            if len(segment) <= CACHED_LENGTH:
-                if len(self.inner) >= CACHED_TOTALS:
-                    self.inner.clear()
-                self.inner[segment] = n
-        return n
-
-    def fit(self, text: str, budget: int) -> int:
-        """The longest prefix, in characters, of which no prefix has more than ``budget`` tokens."""
-        counts, most = self.prefixes(text), array("i")
-        high = 0
-        for c in counts:
-            high = max(high, c)
-            most.append(high)
-        return max(0, bisect_right(most, budget) - 1)
+    def _part(self, part: str) -> bytes:
+        """The changes in a part, put together from the segments between which no merge is possible."""
+        joined = self.joined
+        cuts = [0, *(k for k in range(1, len(part)) if part[k - 1 : k + 1] not in joined), len(part)]
+        return b"".join([self._changes(part[a:b]) for a, b in pairwise(cuts)])
+
+    def table(self, text: str) -> bytes:
+        """The prefix table of a text: one signed byte a character."""
+        if not text:
+            return b""
+        parts = self.segments(SPACE + text.replace(" ", SPACE))
+        new = set(parts).difference(self.known)
+        if len(self.known) + len(new) > CACHED:
+            self.known, new = {}, set(parts)
+        known, long = self.known, {}
+        for part in new:
+            (known if len(part) <= CACHED_LENGTH else long)[part] = self._part(part)
+        raw = b"".join([known[p] if p in known else long[p] for p in parts] if long else map(known.__getitem__, parts))
+        # the first part begins with the space that the library puts before a text
+        return bytes([(raw[0] + raw[1]) & 255]) + raw[2:]
+
+
+def counts(table: bytes) -> np.ndarray:
+    """Token counts of text[:p] for p = 0..len(text)."""
+    out = np.zeros(len(table) + 1, np.int32)
+    np.cumsum(np.frombuffer(table, np.int8), dtype=np.int32, out=out[1:])
+    return out
+
+
+def fit(table: bytes, budget: int) -> int:
+    """The longest prefix, in characters, of which no prefix has more than ``budget`` tokens."""
+    over = counts(table) > budget
+    return int(over.argmax()) - 1 if over.any() else len(table)
 
 
 @lru_cache(maxsize=2)
@@ -185,26 +167,23 @@ def default_model() -> str:
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of every whole text."""
-    model_file = model_file or default_model()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        count = counter(model_file).count
-        texts = batch.column("text")
-        n = [count(t.as_py()) for t in texts]
-        size = [len(t.as_buffer()) if t.as_buffer() is not None else 0 for t in texts]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
-
-    return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    """doc_id, n_bytes, n_tokens, over_limit, fit_chars, prefix_table of every whole text.
 
-
-def prefix_tables(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str | None = None) -> DataFrame:
-    """doc_id, prefix_tokens: the count of every prefix by characters, to be stored beside the text."""
+    fit_chars is the longest prefix within the limit; prefix_table is what counts() and fit() read for any other.
+    """
     model_file = model_file or default_model()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = counter(model_file)
-        tables = [own.prefixes(t.as_py()) for t in batch.column("text")]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(tables, pa.list_(pa.int32()))], ["doc_id", "prefix_tokens"])
-
-    return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, prefix_tokens array<int>")
+        cols: list[list] = [[], [], [], [], []]
+        for text in batch.column("text"):
+            raw = text.as_buffer()
+            table = own.table(text.as_py())
+            n = counts(table)
+            within = len(table) if n.max() <= limit else int((n > limit).argmax()) - 1
+            for col, value in zip(cols, (0 if raw is None else len(raw), int(n[-1]), int(n[-1]) > limit, within, table), strict=True):
+                col.append(value)
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "prefix_table"])
+
+    return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long, prefix_table binary")

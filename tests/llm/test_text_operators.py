@@ -47,29 +47,42 @@ def test_counts_of_whole_texts(spark, data, sample, library):
         assert (got[doc].n_tokens, got[doc].n_bytes, got[doc].over_limit) == (n, len((text or "").encode()), n > 4096)
 
 
+def test_prefix_tables_of_documents(spark, data, sample, library):
+    """Every prefix of 200 documents (every 37th of long ones) and the longest within the limit, against the library."""
+    got = {r.doc_id: r for r in queries()["op3_prefix_counts"](spark, data).collect()}
+    for doc, text in sample[:200]:
+        text = text or ""
+        n = token_counts.counts(bytes(got[doc].prefix_table))
+        assert len(n) == len(text) + 1
+        places = [*range(0, len(text), 1 if len(text) < 400 else 37), len(text)]
+        assert [n[p] for p in places] == [len(library.encode(text[:p])) for p in places]
+        fit = got[doc].fit_chars
+        assert len(library.encode(text[:fit])) <= 4096 and (fit == len(text) or len(library.encode(text[: fit + 1])) > 4096)
+    assert any(r.fit_chars < len(t or "") for d, t in sample for r in [got[d]])
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("abeinrst .,\n▁<>/s0é日😀ﬁ  ")), max_size=40))
 def test_every_prefix(library, text):
-    counts = token_counts.counter(token_counts.default_model()).prefixes(text)
-    assert list(counts) == [len(library.encode(text[:i])) for i in range(len(text) + 1)]
+    table = token_counts.counter(token_counts.default_model()).table(text)
+    assert token_counts.counts(table).tolist() == [len(library.encode(text[:i])) for i in range(len(text) + 1)]
 
 
 def test_budgets_are_answered_from_the_table(library):
-    own = token_counts.counter(token_counts.default_model())
     text = "The quick brown fox. " * 10
+    table = token_counts.counter(token_counts.default_model()).table(text)
     for budget in (0, 1, 7, 20, 500):
-        p = own.fit(text, budget)
+        p = token_counts.fit(table, budget)
         assert len(library.encode(text[:p])) <= budget
         assert p == len(text) or max(len(library.encode(text[: k + 1])) for k in range(p + 1)) > budget
 
 
 def test_counts_of_awkward_tables(spark, library):
     df, rows = awkward(spark)
-    got = Counter((r.doc_id, r.n_tokens) for r in token_counts.token_counts(df).collect())
-    assert got == Counter((r[0], len(library.encode(r[1] or ""))) for r in rows)
+    got = token_counts.token_counts(df).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((r[0], len(library.encode(r[1] or ""))) for r in rows)
     assert token_counts.token_counts(df.limit(0)).count() == 0
-    tables = {r.doc_id: r.prefix_tokens for r in token_counts.prefix_tables(df.where("doc_id < 5")).collect()}
-    assert tables[0] == [0] and len(tables[4]) == 3001
+    assert Counter((r.doc_id, len(r.prefix_table)) for r in got) == Counter((r[0], len(r[1] or "")) for r in rows)
 
 
 # ---- packing
