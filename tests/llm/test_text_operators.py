@@ -233,9 +233,10 @@ def test_base_spans_equal_plain_patterns(spark, data, sample, name, module, brut
         for kind in module.BASE:
             assert got[doc][f"n_{kind}"] == sum(s[0] == kind for s in want)
     rng = random.Random(3)
+    find = module.base_spans if module is secrets else module.find
     for _ in range(6000):
         t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
-        assert sorted(module.find(t)[0]) == sorted(brute(t)), t
+        assert sorted(find(t)[0]) == sorted(brute(t)), t
 
 
 @pytest.mark.parametrize("name,module,brute,parts", SCANS, ids=["secrets", "personal"])
@@ -247,28 +248,101 @@ def test_scans_of_awkward_tables(spark, name, module, brute, parts):
     assert operator(df.limit(0)).count() == 0
 
 
-def test_markov_ratio_separates_random_from_names():
+# names of programs, whose words are not those of the corpus
+PARTS = """user name item count total index value list map key file path load save read write open close start stop
+next last first max min size length width height color style class type node edge graph table column row cell page
+text word line token parse format render view model data base query filter group order sort join merge split event
+handler request response server client session config option param result error status message buffer stream cache
+thread lock queue stack image button window layout field label version update delete create insert select check
+""".split()
+
+
+def identifiers(n, rng):
+    out = []
+    while len(out) < n:
+        parts = [rng.choice(PARTS) for _ in range(rng.randint(3, 6))]
+        style = rng.randrange(6)
+        if style == 0:
+            word = parts[0] + "".join(p.capitalize() for p in parts[1:])
+        elif style == 1:
+            word = "".join(p.capitalize() for p in parts)
+        else:
+            word = ("_", "-", "_", "/")[style - 2].join(parts)
+            word = word.upper() if style == 4 else word
+        word += str(rng.randint(1, 2030)) if rng.random() < 0.4 else ""
+        out += [word] if len(word) >= 20 else []
+    return out
+
+
+@pytest.fixture(scope="module")
+def model(spark, data):
+    """Trained on the documents that are not held out."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    return secrets.train(docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2))
+
+
+def test_held_out_precision_and_recall(model, sample):
+    """Secrets of other making and of held-out documents; names of programs and the held-out documents' long words."""
+    import base64
+    import uuid
+
     rng = random.Random(99)
-    found = secrets.detector()
-    assert sum(map(found, secrets.random_strings(500, rng))) >= 450
-    assert not any(map(found, secrets.identifiers(500, rng)))
-    assert secrets.find("key 9fQ2xLmZ7pR4tVbN8wKc3Ys6 end")[1] == [("random", 4, 28)]
-    assert secrets.find("https://example.com/the_user_profile_page_2024")[1] == []
+    bits = lambda n: rng.getrandbits(8 * n).to_bytes(n, "big")
+    secret = [base64.b64encode(bits(24)).decode().strip("=") for _ in range(300)] + [base64.urlsafe_b64encode(bits(18)).decode() for _ in range(300)]
+    secret += [uuid.UUID(bytes=bits(16)).hex for _ in range(300)] + ["ghp_" + base64.b32encode(bits(20)).decode() for _ in range(300)] + [hashlib.sha1(bits(8)).hexdigest() for _ in range(300)]
+    ordinary = identifiers(1500, rng)
+    held = [t or "" for d, t in sample if zlib.crc32(str(d).encode()) % 4 == 2]
+    secret += [v for t in held for v in secrets.base_spans(t)[1] if len(v) >= 20]
+    words = [w for t in held for w in re.findall("[A-Za-z]+", t)]
+    ordinary += ["".join(words[i : i + 5]) for i in range(0, min(len(words), 5000), 5) if sum(map(len, words[i : i + 5])) >= 20]
+    caught, wrong = sum(map(model, secret)), sum(map(model, ordinary))
+    assert caught >= 0.97 * len(secret)
+    assert wrong <= 0.005 * len(ordinary) and caught / (caught + wrong) >= 0.99
+
+
+def test_random_runs_are_added(model):
+    assert secrets.find("key 9fQ2xLmZ7pR4tVbN8wKc3Ys6 end", model)[1] == [("random", 4, 28)]
+    assert secrets.find("https://example.com/the_user_profile_page_2024", model)[1] == []
+
 
+def test_nothing_is_added_without_words(spark):
+    docs = spark.createDataFrame([(1, "9fQ2xLmZ7pR4tVbN8wKc3Ys6 12 34"), (None, "words that have no id")], "doc_id long, text string")
+    assert {r.spans for r in secrets.secret_spans(docs).collect()} == {""}
 
-def test_runs_of_any_length_are_scored():
+
+def test_runs_of_any_length_are_scored(model):
     rng = random.Random(7)
-    blob = "".join(rng.choice(secrets.ALPHABETS[3]) for _ in range(5000))
-    assert secrets.find(f"key {blob} end")[1] == [("random", 4, 5004)]
+    for n in (260, 5000):
+        blob = "".join(rng.choice(secrets.ALPHABETS[3]) for _ in range(n))
+        assert secrets.find(f"key {blob} end", model)[1] == [("random", 4, 4 + n)]
     letters = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(40))
-    assert secrets.find(letters)[1] == [("random", 0, 40)]
-    names = "_".join(rng.choice(secrets.PARTS) for _ in range(400))
-    assert secrets.find(names)[1] == []
+    assert secrets.find(letters, model)[1] == [("random", 0, 40)]
+    names = "_".join(rng.choice(PARTS) for _ in range(400))
+    assert secrets.find(names, model)[1] == []
     mixed = f"{names}/{blob[:300]}/{names}"
-    (kind, s, e), = secrets.find(mixed)[1]
+    ((_, s, e),) = secrets.find(mixed, model)[1]
     assert abs(s - len(names)) <= secrets.WINDOW and abs(e - len(names) - 302) <= secrets.WINDOW
 
 
+def test_added_secrets_equal_a_plain_scoring(spark, data, sample):
+    """The query's added spans against a plain loop over all runs, with the query's own model."""
+    own = secrets.train(spark.read.parquet(f"{data}/documents.parquet"))
+    texts = {**dict(sample), -1: "x 9fQ2xLmZ7pR4tVbN8wKc3Ys6 y", -2: "secret: 9fQ2xLmZ7pR4tVbN8wKc3Ys6"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in secrets.secret_spans(df, model=own).collect():
+        t = texts[r.doc_id] or ""
+        base = brute_secrets(t)
+        want = []
+        for m in re.finditer("[A-Za-z0-9+/_=-]+", t):
+            if len(m[0]) < 20 or not re.search("[A-Za-z]", m[0]) or any(a < m.end() and m.start() < b for _, a, b in base):
+                continue
+            total = sum(own.ratio[(m[0][i - 1] if i else "^") + m[0][i]] for i in range(len(m[0])))
+            want += [("random", *m.span())] if total >= len(m[0]) * secrets.BAR else []
+        assert sorted(x for x in r.spans.split(",") if x.startswith("random")) == sorted(f"{k}:{a}:{b}" for k, a, b in want)
+
+
 def test_added_personal_kinds():
     base, added = personal_data.find("see https://ex-am.ple/a?b=1 iban DE89370400440532013000 account: 12345678 account manager")
     assert [k for k, _, _ in added] == ["url", "account", "account"]
