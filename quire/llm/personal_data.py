@@ -1,15 +1,18 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds anchors: at-signs, digits, plus signs, URL schemes and cues for
-accounts. Each anchor is expanded by the local parser of its kind, which reads only the characters around it
-and decides alone: how far an e-mail address reaches to either side, whether four numbers make an address,
-whether a card number passes its check digit. Parsers never look behind the end of the last span of their kind,
+accounts. Each anchor is expanded by a deterministic reader of its kind, which looks only at the characters around
+it and decides alone: how far an e-mail address reaches to either side, whether four numbers make an address,
+whether a card number passes its check digit. Readers never look behind the end of the last span of their kind,
 so spans of a kind are the leftmost ones and do not overlap, and what fails is dropped.
 
 Base kinds: email, ip, card, phone. Added kinds: url (scheme and host), account (a cue followed by 6 to 34
 letters and digits of which 6 are digits; with a checksum if it has the form of an IBAN).
 
-Defined results: a null text is empty and has no spans. Offsets are code points, ends exclusive.
+Defined results: a null text is empty and has no spans; neither has an empty one. A very long text is scanned whole.
+Rows that repeat an id, and rows without one, are scanned each for itself. Where spans of two kinds begin at one
+place both are listed, in the order of kinds. An empty table gives an empty result. Columns besides id and text are
+ignored. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -129,5 +132,5 @@ def _run_end(text: str, at: int) -> int:
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added of every whole text."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added and n_total (all spans) of every whole text."""
     return scan(docs, find, BASE, ADDED, id_col, text_col)
