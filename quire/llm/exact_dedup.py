@@ -10,8 +10,9 @@ Long documents do not move: only distinct chunks are shuffled, once, after each
 repeats; everything after that handles eight bytes a chunk.
 
 Defined results: a null text is an empty text; all empty texts are equal. Of equal texts the largest id stays;
-a row repeated with the same id is marked like its twin. Null ids are allowed and lose to any other. Columns
-besides id and text are ignored.
+a row repeated with the same id is marked like its twin. Null ids are allowed and lose to any other. A very long
+text is cut into more chunks, none above MAX_CHUNK bytes. An empty table gives an empty result. Columns besides id
+and text are ignored.
 """
 
 from __future__ import annotations
@@ -101,11 +102,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n_keys = (F.length("recipe") / 8).cast("int")
     key_at = F.transform(F.sequence(F.lit(1), n_keys), lambda i: F.conv(F.hex(F.substring("recipe", (i - 1) * 8 + 1, F.lit(8))), 16, -10).cast("long"))
     # what tells apart texts whose recipe holds an unverified key: their bytes; empty for all others
+    # ids may be null, so they are compared null-safe
     suspects = own.where("length(recipe) > 0").select("doc_id", F.explode(key_at).alias("key")).join(bad, "key", "left_semi").select("doc_id").distinct()
     suspects = materialize(suspects, "suspects")
     plain = F.translate("text", UPPER, UPPER.lower())
-    proof = id_and_text(docs, id_col, text_col).join(suspects, "doc_id", "left_semi").select("doc_id", F.sha2(plain, 256).alias("text_sha256"), plain.alias("proof"))
-    own = own.join(proof.distinct(), ["doc_id", "text_sha256"], "left").withColumn("proof", F.coalesce("proof", F.lit("")))
+    texts = id_and_text(docs, id_col, text_col)
+    proof = texts.join(suspects, texts["doc_id"].eqNullSafe(suspects["doc_id"]), "left_semi").select(F.col("doc_id").alias("proof_id"), F.sha2(plain, 256).alias("proof_sha256"), plain.alias("proof")).distinct()
+    own = own.join(proof, F.col("doc_id").eqNullSafe(F.col("proof_id")) & (F.col("text_sha256") == F.col("proof_sha256")), "left")
+    own = own.withColumn("proof", F.coalesce("proof", F.lit(""))).drop("proof_id", "proof_sha256")
     groups = own.groupBy("n_bytes", "recipe", "proof").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = materialize(groups, "groups")  # read back, so that a large group of copies is split in the join
     return own.join(groups, ["n_bytes", "recipe", "proof"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
