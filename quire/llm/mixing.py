@@ -14,8 +14,11 @@ of the slot in which the budget ends are ordered.
 
 A document's tokens are its runs of characters other than space, tab, line feed and carriage return. Defined
 results: null text has no tokens and is taken if the prefix passes its place and is not empty; null language or source is
-the leaf value "none"; a weight that is not listed is 1; an empty table gives an empty result. Rows that
-repeat an id and text take one place and share their fate.
+the leaf value "none"; a weight that is not listed is 1; a weight of 0 or less excludes what is below it, whose
+supply is then 0 and whose share goes to its siblings; an empty table gives an empty result. A very long text is one
+document like others: it is taken if the prefix holds it whole. Rows that repeat an id and text take one place and
+share their fate; places that tie in the hash are ordered by id. Rows without an id are one place. Columns besides
+id, text, language and source are ignored; keep_mixed returns them all unchanged.
 """
 
 from __future__ import annotations
@@ -34,8 +37,11 @@ BUDGET_PERCENT, EPOCHS = 120, 3
 LEVELS = ("domain", "language", "source")
 
 
-def domain_of(source: Column) -> Column:
-    """Four domains, by the last character of the source's name."""
+def domain_of(source: Column, domains: dict[str, str] | None = None) -> Column:
+    """The domain that the mapping names for a source (MISSING if it names none). Without a mapping the test tables'
+    sources are dealt to four domains by the last character of their names."""
+    if domains is not None:
+        return F.coalesce(*[F.when(source == k, v) for k, v in sorted(domains.items())], F.lit(MISSING))
     return F.concat(F.lit("domain"), F.pmod(F.ascii(F.substring(source, -1, 1)), F.lit(4)).cast("string"))
 
 
@@ -52,11 +58,11 @@ def _turn(epoch: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long")
 
 
-def leaves(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """doc_id, domain, language, source, n_tokens."""
+def leaves(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", domains: dict[str, str] | None = None) -> DataFrame:
+    """doc_id, domain, language, source, n_tokens. domains: the domain of each source by name."""
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        domain_of(F.coalesce(F.col(source_col), F.lit(MISSING))).alias("domain"),
+        domain_of(F.coalesce(F.col(source_col), F.lit(MISSING)), domains).alias("domain"),
         F.coalesce(F.col(lang_col), F.lit(MISSING)).alias("language"),
         F.coalesce(F.col(source_col), F.lit(MISSING)).alias("source"),
         F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit("[^ \\t\\n\\r]+")).cast("long").alias("n_tokens"),
@@ -65,21 +71,26 @@ def leaves(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 def _deal(children: DataFrame, parents: list[str], key: str) -> DataFrame:
     """children: parents, key, weight, supply, parent_budget. Adds budget."""
-    by = Window.partitionBy(*parents).orderBy(F.col("supply") / F.col("weight"), key)
+    counts = F.col("weight") > 0
+    ratio = F.when(counts, F.col("supply") / F.col("weight"))
+    by = Window.partitionBy(*parents).orderBy(ratio.asc_nulls_last(), key)
     so_far, from_here = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.col("parent_budget") - F.coalesce(F.sum("supply").over(so_far), F.lit(0))) / F.sum("weight").over(from_here)
-    reach = children.withColumn("level", level).withColumn("ok", F.col("level") * F.col("weight") <= F.col("supply"))
+    above = F.col("parent_budget") - F.coalesce(F.sum("supply").over(so_far), F.lit(0))
+    reach = children.withColumn("level", F.when(counts, above / F.sum(F.greatest("weight", F.lit(0))).over(from_here))).withColumn("ok", F.col("level") * F.col("weight") <= F.col("supply"))
     all_of = Window.partitionBy(*parents)
     # levels grow as long as they are out of reach, so the first within reach is the least of those within reach
-    water = F.min(F.when(F.col("ok"), F.struct(F.col("supply") / F.col("weight"), F.col(key), F.col("level"))))
+    water = F.min(F.when(F.col("ok"), F.struct(ratio, F.col(key), F.col("level"))))
     reach = reach.withColumn("water", water.over(all_of)["level"])
-    share = F.when(F.col("water").isNull(), F.col("supply")).otherwise(F.least(F.col("supply"), F.floor(F.col("water") * F.col("weight"))))
+    share = F.when(~counts, 0).when(F.col("water").isNull(), F.col("supply")).otherwise(F.least(F.col("supply"), F.floor(F.col("water") * F.col("weight"))))
     return reach.withColumn("budget", share.cast("long")).drop("level", "ok", "water")
 
 
 def budgets(own: DataFrame, weights: tuple[dict[str, int], ...] = (DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, SOURCE_WEIGHTS), percent: int = BUDGET_PERCENT, epochs: int = EPOCHS) -> DataFrame:
     """domain, language, source, tokens, budget, whole (epochs), rest (tokens of the next epoch). own: leaves()."""
-    leaf = own.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")).withColumn("supply", F.col("tokens") * epochs)
+    open_ = F.lit(True)
+    for key, weight in zip(LEVELS, weights, strict=True):
+        open_ = open_ & (_weight(key, weight) > 0)
+    leaf = own.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")).withColumn("supply", F.when(open_, F.col("tokens") * epochs).otherwise(0))
     path: list[str] = []
     above = None
     for key, weight in zip(LEVELS, weights, strict=True):
@@ -117,11 +128,11 @@ def select(docs: DataFrame, seed: str = SEED, weights: tuple[dict[str, int], ...
     return rest.unionByName(apart)
 
 
-def keep_mixed(docs: DataFrame, seed: str = SEED, percent: int = 90) -> DataFrame:
+def keep_mixed(docs: DataFrame, seed: str = SEED, percent: int = 90, id_col: str = "doc_id", **columns: str) -> DataFrame:
     """docs cut to ``percent`` hundredths of their tokens by the weights, each document at most once; columns unchanged."""
     mark = free_name(docs, "mixed_id")
-    taken = select(docs, seed, percent=percent, epochs=1).where("copies > 0").select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(taken, docs["doc_id"].cast("long").eqNullSafe(F.col(mark)), "left_semi")
+    taken = select(docs, seed, percent=percent, epochs=1, id_col=id_col, **columns).where("copies > 0").select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(taken, docs[id_col].cast("long").eqNullSafe(F.col(mark)), "left_semi")
 
 
 def sql(seed: str = SEED, percent: int = BUDGET_PERCENT, epochs: int = EPOCHS) -> str:

@@ -49,9 +49,17 @@ def test_exact_groups_of_awkward_tables(spark):
 
 def test_hash_collisions_do_not_join_texts(spark, monkeypatch):
     """With keys that all collide, texts are still told apart."""
+    from pyspark.sql import functions as F
+
+    plain = exact_dedup.recipes
     monkeypatch.setattr(exact_dedup, "unverified_keys", lambda docs, *a: exact_dedup.recipes(docs).selectExpr("cast(conv(hex(substring(recipe, 1, 8)), 16, -10) as long) key").distinct())
     got = {r.doc_id: r.keep_id for r in exact_dedup.exact_groups(docs_of(spark, [(1, "abc"), (2, "ABC"), (3, "abd")])).collect()}
     assert got == {1: 2, 2: 2, 3: 3}
+    # texts of one size and one recipe, under null ids
+    monkeypatch.setattr(exact_dedup, "recipes", lambda docs, *a: plain(docs, *a).withColumn("recipe", F.unhex(F.lit("00" * 8))))
+    monkeypatch.setattr(exact_dedup, "unverified_keys", lambda docs, *a: docs.sparkSession.createDataFrame([(0,)], "key long"))
+    got = [r.group_size for r in exact_dedup.exact_groups(docs_of(spark, [(None, "abc"), (None, "abd"), (None, "ABD")])).collect()]
+    assert sorted(got) == [1, 2, 2]
 
 
 def shingle_weights(text):
@@ -357,6 +365,23 @@ def test_budgets_go_to_siblings_first(spark):
     assert got["en", "src0"] == 10 and got["fr", "src0"] == 10 and got["en", "src4"] > 200
 
 
+def test_weight_zero_excludes(spark):
+    """What is excluded gets nothing, at any level, and its share goes to its siblings."""
+    rows = [(i, "w " * 100, lang, source) for i, (lang, source) in enumerate([("en", "src0"), ("en", "src4"), ("fr", "src0"), ("de", "src1")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for weights, out in (({}, {}, {"src4": 0}), {("en", "src4")}), (({}, {"en": 0}, {}), {("en", "src0"), ("en", "src4")}), (({"domain1": 0}, {}, {}), {("de", "src1")}), (({"domain0": -1, "domain1": 0}, {}, {}), {(r[2], r[3]) for r in rows}):
+        got = {(r.language, r.source): r.budget for r in mixing.budgets(mixing.leaves(df), weights, percent=50, epochs=1).collect()}
+        assert all((b == 0) == (k in out) for k, b in got.items())
+        assert sum(got.values()) >= min(198, 100 * (4 - len(out)) - 3)
+    assert len(mixing.select(df, weights=({}, {}, {"src0": 0})).collect()) == 4
+
+
+def test_domains_by_name(spark):
+    df = spark.createDataFrame([(1, "a", "en", "web"), (2, "b", "en", "books"), (3, "c", "en", None)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.domain for r in mixing.leaves(df, domains={"web": "crawl", "books": "print"}).collect()}
+    assert got == {1: "crawl", 2: "print", 3: "none"}
+
+
 def test_mixing_of_awkward_tables(spark):
     df = docs_of(spark, awkward())
     got = mixing.select(df).collect()
