@@ -7,12 +7,17 @@ language of the most similar centroid. It is rejected when it is farther from it
 the training texts of similar length, by a wide margin (MARGIN), so ordinary texts of any language learned are
 kept and strings without language are not.
 
-The model is fitted on at most SAMPLE texts a language, chosen by a hash of their id among labelled rows that
-are not held out; that bound is a parameter. Everything else covers every row and whole texts.
+The model is fitted on at most about SAMPLE texts a language and MOST_ROWS in all, chosen by a hash of their id
+among labelled rows that are not held out, and on the MOST_LANGUAGES most frequent labels; these bounds are
+parameters. So the driver's memory is bounded whatever the number of labels. Everything else covers every row and
+whole texts.
 
 Defined results: ``und`` and score 0 for a null text or one without a letter, and for every text if there was
-nothing to learn from; such texts are rejected. Rows with a null language are not learned from; a row with a
-null id is predicted, not learned from and not held out.
+nothing to learn from; such texts are rejected. Texts of less than 32 bytes, a few words, are never rejected for
+their distance. Rows with a null language are not learned from; a row with a null id is predicted, not learned from
+and not held out. Of languages that are equally near the first by name is predicted. A very long text gives one
+vector like others. Rows that repeat an id are predicted each for itself. An empty table gives an empty result.
+Other columns are ignored, or kept as they are by identify and keep_known.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from quire.llm.common import free_name, per_batch, utf8_slices
 from quire.llm.textkit import U, mix
 
 DIMENSIONS, CLUSTERS, SAMPLE, ROUNDS, MARGIN = 4096, 4, 1000, 12, 0.5
+MOST_ROWS, MOST_LANGUAGES = 16_000, 1000
 UNKNOWN = "und"
 #: 0 white space and marks (one space), 1 digits as one, others themselves
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -139,7 +145,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on at most about ``sample`` rows a language; only their vectors reach the driver."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     own = own.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out("doc_id"))
-    share = {r["lang"]: sample / r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    wanted = min(sample, MOST_ROWS / max(1, len(labels)))
+    share = {r["lang"]: wanted / r["n"] for r in labels}
     if not share:
         return fit(np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), [])
     # a row is taken if its hash is below its language's share: no sort, no gathering of a large language

@@ -168,6 +168,45 @@ def test_held_out_accuracy(spark, data):
     assert sum(r.rejected for r in got) <= 0.01 * len(got)
 
 
+def test_prediction_equals_brute_force(spark, data, sample):
+    """N-grams counted one by one, against the query: language and cosine of every document."""
+    import math
+
+    import numpy as np
+    from quire.llm.textkit import U, mix
+
+    model = language_id.train(spark.read.parquet(f"{data}/documents.parquet"))
+    got = {r.doc_id: r for r in queries()["op5_nearest_centroid"](spark, data).collect()}
+    fold = {b: b for b in range(128, 256)} | {b: 32 for b in range(128)} | {b: 48 for b in b"0123456789"} | {b: b for b in range(97, 123)}
+    places: dict[tuple, int] = {}
+
+    def place(gram):
+        if gram not in places:
+            code = sum(b << 8 * k for k, b in enumerate(reversed(gram)))
+            places[gram] = int(mix(np.array([code], U) + language_id._SALT[len(gram) - 1])[0]) % language_id.DIMENSIONS
+        return places[gram]
+
+    for doc, text in sample[:60]:
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[doc].lang_pred, got[doc].score) == ("und", 0.0)
+            continue
+        raw = [fold[b] for b in text.lower().encode()]
+        counts = Counter(place(tuple(raw[i : i + n])) for n in (1, 2, 3) for i in range(len(raw) - n + 1))
+        own = {k: math.log1p(v) * float(model.idf[k]) for k, v in counts.items()}
+        size = math.sqrt(sum(v * v for v in own.values()))
+        near = [sum(v * float(c[k]) for k, v in own.items()) / size for c in model.centroids]
+        assert got[doc].lang_pred == model.languages[model.owner[int(np.argmax(near))]]
+        assert abs(got[doc].score - max(near)) < 1e-4
+
+
+def test_many_labels_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_ROWS", 100)
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 20)
+    rows = [(i, f"some words of language {i % 50} again {i}", f"l{i % 50:02d}") for i in range(4000)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert 1 < len(model.languages) <= 20 and len(model.centroids) <= 20 * language_id.CLUSTERS
+
+
 def test_language_of_awkward_tables(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     model = language_id.train(docs)
