@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.tables import materialize
+
 
 def round_robin(files: DataFrame, order: str, count: int) -> DataFrame:
     """shard: the file's place in the sorted list, modulo count.
 
-    Places are computed without one global sort task: the list is ranged into parts, parts are counted, and a
-    file's place is its part's first place and its rank within.
+    Places are computed without one global sort task: the list is ranged into parts once and written, parts are
+    counted, and a file's place is its part's first place and its rank within.
     """
     if count < 1:
         raise ValueError("at least one shard")
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = files.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id())
+    ranged = materialize(files.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id()), "ranged")
     within = ranged.withColumn("within", F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1)
     sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     first = sizes.withColumn("first", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))

@@ -7,21 +7,33 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import SPACE, to_int, without
 from quire.operators.grid import positions
+from quire.tables import materialize, release
 
 HEADING_NAMES = ("heading", "标题")
-MAX_DEPTH = 64
 
 
 def style_resolve(styles: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """styles: style_id, name, based_on, outline (-1: none). The first name and the first outline along the chain,
-    stopping at an outline, a missing style or a cycle. The chain doubles its reach with every join, so a depth
-    of d takes log2(d) joins."""
+    stopping at an outline, a missing style or a cycle.
+
+    Every round doubles the reach of all chains by one join and writes the result; it ends when no chain goes on, so
+    the deepest chain takes log2(depth) + 1 joins. Chains that go round in a cycle are done when they have reached as
+    far as there are styles.
+    """
     keys = keys or []
-    chain = styles.select(*keys, "style_id", "name", F.when(F.col("outline") >= 0, F.col("outline")).alias("level"), F.when(F.col("outline") >= 0, F.lit(None)).otherwise(F.col("based_on")).alias("up"))
-    for _ in range(MAX_DEPTH.bit_length()):
+    level = F.when(F.col("outline") >= 0, F.col("outline"))
+    up = F.when(F.col("outline") >= 0, F.lit(None)).otherwise(F.col("based_on"))
+    chain = materialize(styles.select(*keys, "style_id", "name", level.alias("level"), up.alias("up")), "styles")
+    reach, most = 1, chain.count()
+    while reach <= most and not chain.where("up is not null").isEmpty():
         above = chain.select(*keys, F.col("style_id").alias("up"), F.col("name").alias("name_up"), F.col("level").alias("level_up"), F.col("up").alias("up_up"))
         joined = chain.join(above, [*keys, "up"], "left")
-        chain = joined.select(*keys, "style_id", F.coalesce("name", "name_up").alias("name"), F.coalesce("level", "level_up").alias("level"), F.col("up_up").alias("up"))
+        # past a level nothing above counts any more
+        further = F.when(F.coalesce("level", "level_up").isNull(), F.col("up_up"))
+        longer = joined.select(*keys, "style_id", F.coalesce("name", "name_up").alias("name"), F.coalesce("level", "level_up").alias("level"), further.alias("up"))
+        longer = materialize(longer, "styles")
+        release(chain)
+        chain, reach = longer, reach * 2
     return chain.select(*keys, "style_id", "name", F.coalesce("level", F.lit(-1)).alias("outline"))
 
 

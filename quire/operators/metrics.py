@@ -12,12 +12,18 @@ from quire.sources.html_tables import Tree, cells, tree
 
 
 def edit_distance(a: str, b: str) -> int:
-    row = list(range(len(b) + 1))
+    """Rows of the table at once: an insertion is the running least of what is left of it."""
+    if a == b or not a or not b:
+        return 0 if a == b else max(len(a), len(b))
+    other = np.frombuffer(b.encode("utf-32-le", "surrogatepass"), np.uint32)
+    places = np.arange(len(b) + 1)
+    row = places.copy()
     for i, x in enumerate(a, 1):
-        above, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            above, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, above + (x != y))
-    return row[-1]
+        above = row[1:] + 1
+        through = row[:-1] + (other != ord(x))
+        row = np.concatenate(([i], np.minimum(above, through)))
+        row = np.minimum.accumulate(row - places) + places
+    return int(row[-1])
 
 
 def rename_cost(a: Tree, b: Tree, structure_only: bool) -> float:
@@ -33,17 +39,15 @@ def _postorder(t: Tree) -> tuple[list[Tree], list[int], list[int]]:
     """Nodes in postorder, the leftmost leaf of each, and the key roots."""
     nodes: list[Tree] = []
     left: list[int] = []
-
-    def walk(n: Tree) -> int:
-        first = None
-        for c in n.children:
-            leaf = walk(c)
-            first = leaf if first is None else first
-        nodes.append(n)
-        left.append(len(nodes) - 1 if first is None else first)
-        return left[-1]
-
-    walk(t)
+    todo: list[tuple[Tree, int]] = [(t, -1)]  # a node, and how many nodes came before it once it is entered
+    while todo:
+        at, before = todo.pop()
+        if before < 0:
+            todo.append((at, len(nodes)))
+            todo += [(c, -1) for c in reversed(at.children)]
+        else:
+            left.append(left[before] if at.children else len(nodes))
+            nodes.append(at)
     roots = sorted({leaf: i for i, leaf in enumerate(left)}.values())
     return nodes, left, roots
 
@@ -72,7 +76,12 @@ def tree_distance(a: Tree, b: Tree, structure_only: bool = False) -> float:
 
 
 def _size(t: Tree) -> int:
-    return 1 + sum(map(_size, t.children))
+    n, todo = 0, [t]
+    while todo:
+        at = todo.pop()
+        n += 1
+        todo += at.children
+    return n
 
 
 def teds(truth: str, prediction: str, structure_only: bool = False) -> float:

@@ -121,12 +121,12 @@ def render_markdown(spark, sf_dir):
     return content.render_units(own, ["conv_id"], "section", "markdown")
 
 
-@query("""WITH RECURSIVE shown AS (SELECT p_partkey AS root, p_partkey AS id, 0 AS depth FROM part WHERE p_partkey % 16 = 1 UNION ALL SELECT s.root, l.p_partkey, s.depth + 1 FROM shown s JOIN part l ON l.p_partkey // 4 = s.id AND l.p_partkey >= 4)
+@query("""WITH RECURSIVE shown AS (SELECT p_partkey AS root, p_partkey AS id, 0 AS depth FROM part WHERE p_partkey < 4 UNION ALL SELECT s.root, l.p_partkey, s.depth + 1 FROM shown s JOIN part l ON l.p_partkey // 4 = s.id AND l.p_partkey >= 4)
 SELECT root, id, depth FROM shown""")
 def nested_tables(spark, sf_dir):
     part = c.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("id"))
     links = part.where("id >= 4").select(F.floor(F.col("id") / 4).cast("long").alias("parent"), "id")
-    return content.nested_tables(links, part.where("id % 16 = 1"))
+    return content.nested_tables(links, part.join(links, "id", "left_anti"))
 
 
 @query(f"""WITH {ITEMS}, units AS (SELECT conv_id, section + 1 AS number, list({{'type': type, 'text': text, 'level': CAST(level AS INT), 'format': format}} ORDER BY ord) AS content FROM items GROUP BY conv_id, section),

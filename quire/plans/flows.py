@@ -62,11 +62,10 @@ def section_index(spark, sf_dir):
     return own.select("conv_id", "ord", "section", "kind", F.length("text").alias("n"))
 
 
-@query("SELECT doc_id, length(regexp_replace(coalesce(substr(text, 1, CAST(doc_id % 40 AS INT)), ''), '\\s', '', 'g')) < 20 AND doc_id % 3 > 0 AS image_only FROM documents")
+@query("SELECT doc_id, length(regexp_replace(coalesce(text, ''), '\\s', '', 'g')) < 20 AND doc_id % 3 > 0 AS image_only FROM documents")
 def image_only_probe(spark, sf_dir):
     docs = c.table(spark, sf_dir, "documents")
-    part = F.substring(F.col("text"), F.lit(1), (F.col("doc_id") % 40).cast("int"))
-    return docs.select("doc_id", flow.image_only(part, F.col("doc_id") % 3).alias("image_only"))
+    return docs.select("doc_id", flow.image_only(F.col("text"), F.col("doc_id") % 3).alias("image_only"))
 
 
 # rows of a word-processor table: one per distinct line number, three cells each, widths and merges from the keys

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions.geometry import box
@@ -94,10 +95,21 @@ def table_html_export(spark, sf_dir):
     return content.table_html(c.plain_cells(spark, sf_dir), KEYS, export=True)
 
 
-@query(f"""WITH {c.PLAIN_CELLS} SELECT table_id, "row", col, rowspan, colspan, text, "row" = 0 AS header FROM v_plain""")
+# the first column is merged over pairs of rows, so the cells of every second row begin at the column after it
+PAIRED = """v_paired AS (SELECT table_id, "row", col, CASE WHEN col = 0 AND "row" < max("row") OVER (PARTITION BY table_id) THEN 2 ELSE 1 END AS rowspan, colspan, text FROM v_plain),
+v_merged AS (SELECT * FROM v_paired WHERE col > 0 OR "row" % 2 = 0)"""
+
+
+def _merged_cells(spark, sf_dir):
+    last = F.max("row").over(Window.partitionBy("table_id"))
+    own = c.plain_cells(spark, sf_dir).withColumn("rowspan", F.when((F.col("col") == 0) & (F.col("row") < last), 2).otherwise(1))
+    return own.where("col > 0 or row % 2 = 0")
+
+
+@query(f"""WITH {c.PLAIN_CELLS}, {PAIRED} SELECT table_id, "row", col, rowspan, colspan, text, "row" = 0 AS header FROM v_merged""")
 def html_table_parse(spark, sf_dir):
-    """Render, then parse: the cells come back as they were."""
-    made = content.table_html(c.plain_cells(spark, sf_dir), KEYS)
+    """Render, then read: the cells come back as they were, those beside merged cells at their own columns."""
+    made = content.table_html(_merged_cells(spark, sf_dir), KEYS)
     return html_table_cells(made, "table_id").select("table_id", "row", "col", "rowspan", "colspan", "text", "header")
 
 

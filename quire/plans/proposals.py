@@ -58,15 +58,15 @@ def structure_proposal(spark, sf_dir):
     return decide.structure_proposal(c.regions(spark, sf_dir), ["page"]).select("page", "id", "kind", F.coalesce("score", F.lit(-1.0)).alias("score"))
 
 
-EVIDENCE = """facts AS (SELECT page, max(score) AS max_detection, bool_or(kind = 'native' AND n_cells >= 4 AND ncols >= 2) AS native_grid, bool_or(kind = 'detection' AND ncols >= 4) AS partial_grid, bool_or(strong AND u % 4 = 0) AS strong, bool_or(passed AND u % 3 = 0) AS any_passed FROM v_regions WHERE id % 5 < 2 GROUP BY page),
+EVIDENCE = """facts AS (SELECT page, max(score) AS max_detection, bool_or(kind = 'native' AND n_cells >= 20 AND ncols >= 5) AS native_grid, bool_or(kind = 'detection' AND ncols >= 5 AND score >= 0.75) AS partial_grid, bool_or(strong AND u % 16 = 0) AS strong, bool_or(passed AND u % 25 = 0) AS any_passed FROM v_regions GROUP BY page),
 scored AS (SELECT *, CASE WHEN coalesce(max_detection, 0) >= 0.85 THEN 2 ELSE 0 END + CASE WHEN native_grid THEN 3 ELSE 0 END + CASE WHEN partial_grid THEN 3 ELSE 0 END + CASE WHEN strong THEN 3 ELSE 0 END AS score, native_grid OR partial_grid OR strong AS structural FROM facts)"""
 
 
 def _facts(spark, sf_dir):
-    r = c.regions(spark, sf_dir).where("id % 5 < 2")
+    r = c.regions(spark, sf_dir)
     return r.groupBy("page").agg(
-        F.max("score").alias("max_detection"), F.expr("bool_or(kind = 'native' and n_cells >= 4 and ncols >= 2)").alias("native_grid"), F.expr("bool_or(kind = 'detection' and ncols >= 4)").alias("partial_grid"),
-        F.expr("bool_or(strong and u % 4 = 0)").alias("any_strong"), F.expr("bool_or(passed and u % 3 = 0)").alias("any_passed"),
+        F.max("score").alias("max_detection"), F.expr("bool_or(kind = 'native' and n_cells >= 20 and ncols >= 5)").alias("native_grid"), F.expr("bool_or(kind = 'detection' and ncols >= 5 and score >= 0.75)").alias("partial_grid"),
+        F.expr("bool_or(strong and u % 16 = 0)").alias("any_strong"), F.expr("bool_or(passed and u % 25 = 0)").alias("any_passed"),
     )
 
 

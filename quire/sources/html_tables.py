@@ -1,4 +1,8 @@
-"""Tables in HTML: to cells, and to trees for comparison. A parser over the standard library, in Arrow batches."""
+"""Tables in HTML: to cells, and to trees for comparison, row by row in batches.
+
+Walks keep their own stacks, so nesting of any depth is read, and spans are kept as intervals of columns, so a wide
+span costs no more than a narrow one. What cannot be read gives a row with an error.
+"""
 
 from __future__ import annotations
 
@@ -24,20 +28,31 @@ class Element:
     attrs: dict[str, str] = field(default_factory=dict)
     children: list = field(default_factory=list)  # elements and strings
 
-    def text(self) -> str:
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
-
     def pieces(self) -> list[str]:
-        return [p for c in self.children for p in ([c] if isinstance(c, str) else c.pieces())]
+        """The strings below, in order."""
+        out, todo = [], [self]
+        while todo:
+            at = todo.pop()
+            if isinstance(at, str):
+                out.append(at)
+            else:
+                todo += reversed(at.children)
+        return out
+
+    def text(self) -> str:
+        return "".join(self.pieces())
 
     def elements(self) -> list[Element]:
         return [c for c in self.children if isinstance(c, Element)]
 
     def first(self, tag: str) -> Element | None:
-        for c in self.elements():
-            found = c if c.tag == tag else c.first(tag)
-            if found:
-                return found
+        """The first element of that name below, in document order."""
+        todo = self.elements()[::-1]
+        while todo:
+            at = todo.pop()
+            if at.tag == tag:
+                return at
+            todo += at.elements()[::-1]
         return None
 
 
@@ -92,19 +107,23 @@ def cells(source: str) -> list[tuple[int, int, int, int, str, bool]]:
             rows.append((part, False))
         elif part.tag in PARTS:
             rows += [(tr, part.tag == "thead") for tr in part.elements() if tr.tag == "tr"]
-    taken: set[tuple[int, int]] = set()
+    open_: list[tuple[int, int, int]] = []  # first column, column after the last, row after the last
     out = []
     for r, (tr, in_head) in enumerate(rows):
-        col = 0
+        open_ = sorted(x for x in open_ if x[2] > r)
+        col, new = 0, []
         for cell in tr.elements():
             if cell.tag not in ("td", "th"):
                 continue
-            while (r, col) in taken:
-                col += 1
+            for first, after, _ in open_:
+                if first <= col < after:
+                    col = after
             high, wide = _span(cell, "rowspan"), _span(cell, "colspan")
-            taken.update((r + i, col + j) for i in range(high) for j in range(wide))
             out.append((r, col, high, wide, cell.text().strip(), cell.tag == "th" or in_head))
+            if high > 1:
+                new.append((col, col + wide, r + high))
             col += wide
+        open_ += new
     return out
 
 
@@ -122,13 +141,20 @@ def tree(source: str) -> Tree:
     if table is None:
         raise ValueError("no table")
 
-    def build(e: Element) -> Tree:
+    def node(e: Element) -> Tree:
         leaf = e.tag in ("td", "th")
         spans = (int(e.attrs.get("rowspan", "1")), int(e.attrs.get("colspan", "1"))) if leaf else None
-        text = re.sub(r"\s+", " ", " ".join(e.pieces())).strip() if leaf else ""
-        return Tree(e.tag, spans, text, [build(c) for c in e.elements() if c.tag in KEPT])
-
-    return build(table)
+        return Tree(e.tag, spans, re.sub(r"\s+", " ", " ".join(e.pieces())).strip() if leaf else "", [])
+
+    root = node(table)
+    todo = [(table, root)]
+    while todo:
+        element, own = todo.pop()
+        for c in element.elements():
+            if c.tag in KEPT:
+                own.children.append(node(c))
+                todo.append((c, own.children[-1]))
+    return root
 
 
 def html_table_cells(tables: DataFrame, key: str, source: str = "html") -> DataFrame:

@@ -92,6 +92,23 @@ def test_unsafe_and_broken_packages(spark):
     assert {r.key: r.status for r in ooxml.status(own).collect()} == {"0": "failed", "1": "failed", "2": "failed"}
 
 
+def test_documents_that_cannot_be_read_are_rows(spark):
+    """An encrypted package, tables nested 1500 deep, and a size that is not as declared."""
+    import struct
+
+    locked = bytearray(package(p("x")))
+    for mark in (b"PK\x03\x04", b"PK\x01\x02"):
+        at = locked.find(mark)
+        while at >= 0:
+            flag = at + (6 if mark == b"PK\x03\x04" else 8)
+            locked[flag : flag + 2] = struct.pack("<H", 1)
+            at = locked.find(mark, at + 4)
+    deep = package("<w:tbl><w:tr><w:tc>" * 1500 + p("x") + "</w:tc></w:tr></w:tbl>" * 1500)
+    own = raw(spark, bytes(locked), deep, package(p("fine")))
+    assert {r.key: r.status for r in ooxml.status(own).collect()} == {"0": "failed", "1": "failed", "2": "ok"}
+    assert all(r.message for r in ooxml.entity(own, "error").collect())
+
+
 def test_footnotes_have_content(spark):
     notes = f'<w:footnotes {NS}><w:footnote w:id="1">{p("note")}</w:footnote></w:footnotes>'
     got = ooxml.blocks(raw(spark, package(BODY, word__footnotes=notes))).where("area = 'footnotes'").collect()
