@@ -6,8 +6,10 @@ many pages; all else is joins on the page with a geometric residual.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,64 +31,66 @@ def best_match(left: DataFrame, right: DataFrame, keys: list[str], threshold: fl
     return best.select(*keys, "left_id", (-F.col("best.turn")).alias("right_id"), F.col("best.iou").alias("iou"), F.col("best.overlap").alias("overlap_min"))
 
 
-def _area(b: Box) -> float:
-    return max(0.0, b[2] - b[0]) * max(0.0, b[3] - b[1])
+@dataclass
+class Candidate:
+    """What the members of a candidate have in common: the item that founded it, and the box around all."""
 
+    anchor: Box
+    box: Box
+    native: list[int]
+    detected: list[int]
 
-def _overlaps(a: Box, b: Box) -> tuple[float, float]:
-    """(IoU, share of the smaller)."""
-    both = _area((max(a[0], b[0]), max(a[1], b[1]), min(a[2], b[2]), min(a[3], b[3])))
-    return both / max(_area(a) + _area(b) - both, 1e-9), both / max(min(_area(a), _area(b)), 1e-9)
 
+def overlap_matrices(boxes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(IoU, share of the smaller) of every box with every other."""
+    size = np.maximum(boxes[:, 2:] - boxes[:, :2], 0).prod(axis=1)
+    low, high = np.maximum(boxes[:, None, :2], boxes[None, :, :2]), np.minimum(boxes[:, None, 2:], boxes[None, :, 2:])
+    both = np.maximum(high - low, 0).prod(axis=2)
+    return both / np.maximum(size[:, None] + size[None, :] - both, 1e-9), both / np.maximum(np.minimum(size[:, None], size[None, :]), 1e-9)
 
-class _Region:
-    """A candidate: a fixed anchor, a box that grows, and its members."""
 
-    def __init__(self, anchor: Box):
-        self.anchor = self.box = anchor
-        self.native: list[int] = []
-        self.detected: list[tuple[int, Box]] = []
+RANKS = {"passed": 0, "detected": 1, "repair": 2}
 
-    def take(self, item: int, box: Box, detected: bool) -> None:
-        if detected:
-            self.detected.append((item, box))
-        else:
-            self.native.append(item)
-        self.box = tuple(f(x, y) for f, x, y in zip((min, min, max, max), self.box, box, strict=True))
 
+def founders(roles: list[str], iou_of: np.ndarray, share_of: np.ndarray, threshold: float) -> list[int]:
+    """For each item, in the order in which items are dealt, the item that founded its candidate (maybe itself).
 
-def _nearest(box: Box, pool: Iterable[_Region], threshold: float) -> _Region | None:
-    """Of equally near regions the earliest."""
-    best, score = None, (-1.0, -1.0)
-    for region in pool:
-        near = _overlaps(box, region.anchor)
-        if (near[0] > 0 and near[0] >= threshold or near[1] >= MATCH_OVERLAP) and near > score:
-            best, score = region, near
-    return best
-
-
-def fuse(items: list[tuple[int, str, Box]], threshold: float = MATCH_IOU) -> list[_Region]:
-    """items: (id, 'passed' | 'detected' | 'repair', box) of one page, in any order.
-
-    Sound native tables make or join regions first. A detection joins the region that already holds nearly the
-    same one, else a native region without detections, else it makes its own. Failed tables come last.
+    An item goes to the founder it overlaps most, by (IoU, share of the smaller) and then by age, if it is near enough.
+    A detection goes first to the oldest candidate with nearly the same detection, else only to candidates of native
+    tables that have no detection yet.
     """
-    regions: list[_Region] = []
-
-    def own(box: Box) -> _Region:
-        regions.append(_Region(box))
-        return regions[-1]
-
-    by_kind = {k: sorted((i for i in items if i[1] == k), key=lambda i: (i[2][1], i[2][0], i[0])) for k in ("passed", "detected", "repair")}
-    for item, _, box in by_kind["passed"]:
-        (_nearest(box, regions, threshold) or own(box)).take(item, box, False)
-    for item, _, box in by_kind["detected"]:
-        twin = next((r for r in regions if any(_overlaps(box, b)[0] >= SAME_DETECTION for _, b in r.detected)), None)
-        free = (r for r in regions if r.native and not r.detected)
-        (twin or _nearest(box, free, threshold) or own(box)).take(item, box, True)
-    for item, _, box in by_kind["repair"]:
-        (_nearest(box, regions, threshold) or own(box)).take(item, box, False)
-    return sorted(regions, key=lambda r: (r.anchor[1], r.anchor[0]))
+    owner: list[int] = []
+    near = (iou_of > 0) & (iou_of >= threshold) | (share_of >= MATCH_OVERLAP)
+    for i, role in enumerate(roles):
+        open_ = [j for j in range(i) if owner[j] == j]
+        if role == "detected":
+            seen = [j for j in range(i) if roles[j] == "detected"]
+            twins = [owner[j] for j in seen if iou_of[i, j] >= SAME_DETECTION]
+            if twins:
+                owner.append(min(twins))
+                continue
+            taken = {owner[j] for j in seen}
+            open_ = [j for j in open_ if j not in taken]
+        fits = [(iou_of[i, j], share_of[i, j], -j) for j in open_ if near[i, j]]
+        owner.append(-max(fits)[2] if fits else i)
+    return owner
+
+
+def fuse(items: list[tuple[int, str, Box]], threshold: float = MATCH_IOU) -> list[Candidate]:
+    """items: (id, 'passed' | 'detected' | 'repair', box) of one page, in any order. Sound native tables are dealt
+    first, then detections, then failed tables, each from top to bottom."""
+    dealt = sorted(items, key=lambda x: (RANKS[x[1]], x[2][1], x[2][0], x[0]))
+    if not dealt:
+        return []
+    boxes = np.array([x[2] for x in dealt], float)
+    owner = np.array(founders([x[1] for x in dealt], *overlap_matrices(boxes), threshold))
+    out = []
+    for i in np.unique(owner).tolist():
+        members = np.flatnonzero(owner == i)
+        around = (*boxes[members, :2].min(axis=0).tolist(), *boxes[members, 2:].max(axis=0).tolist())
+        kinds = [[dealt[j][0] for j in members if (dealt[j][1] == "detected") == detected] for detected in (False, True)]
+        out.append(Candidate(tuple(boxes[i].tolist()), around, *kinds))
+    return sorted(out, key=lambda c: (c.anchor[1], c.anchor[0]))
 
 
 def _per_group(rows: DataFrame, key: str, items: list[str], one: Callable, schema: list[tuple[str, pa.DataType]]) -> DataFrame:
@@ -120,7 +124,7 @@ def candidate_fusion(items: DataFrame, page: str = "page", threshold: float = MA
 
     def one(number: int, rows: list[dict]) -> Iterator[tuple]:
         for i, r in enumerate(fuse([(x["id"], x["role"], _box_of(x)) for x in rows], threshold), 1):
-            yield number, f"p{number:04d}-candidate-{i:03d}", r.native, [d for d, _ in r.detected], *r.box
+            yield number, f"p{number:04d}-candidate-{i:03d}", r.native, r.detected, *r.box
 
     ids = pa.list_(pa.int64())
     schema = [("page", pa.int64()), ("candidate_id", pa.string()), ("native_ids", ids), ("detection_ids", ids), *((c, pa.float64()) for c in CORNERS)]
@@ -132,12 +136,13 @@ def near_duplicates(tables: DataFrame, page: str = "page") -> DataFrame:
     own = tables.select(F.col(page).cast("long").alias("page"), _struct("cast(id as bigint) as id", "nrows", "ncols").alias("item"))
 
     def one(number: int, rows: list[dict]) -> Iterator[tuple]:
-        kept: list[tuple[Box, tuple[int, int]]] = []
-        for r in sorted(rows, key=lambda x: x["id"]):
-            box, size = _box_of(r), (r["nrows"], r["ncols"])
-            new = not any(s == size and _overlaps(box, b)[0] > SAME_TABLE for b, s in kept)
-            if new:
-                kept.append((box, size))
+        rows = sorted(rows, key=lambda x: x["id"])
+        iou_of, _ = overlap_matrices(np.array([_box_of(r) for r in rows], float))
+        kept: list[int] = []
+        for i, r in enumerate(rows):
+            alike = [j for j in kept if (rows[j]["nrows"], rows[j]["ncols"]) == (r["nrows"], r["ncols"])]
+            new = not (iou_of[i, alike] > SAME_TABLE).any()
+            kept += [i] if new else []
             yield number, r["id"], new
 
     return _per_group(own, "page", ["item"], one, [("page", pa.int64()), ("id", pa.int64()), ("kept", pa.bool_())])
@@ -152,20 +157,20 @@ def gt_match(truths: DataFrame, predictions: DataFrame, document: str = "doc") -
     right = predictions.select(doc, _struct("cast(id as bigint) as id", "page").alias("found"))
 
     def one(number: int, wanted: list[dict], offered: list[dict]) -> Iterator[tuple]:
-        free = {p["id"]: p for p in sorted(offered, key=lambda x: x["id"])}
-        for t in sorted(wanted, key=lambda x: x["id"]):
-            near = lambda p: _overlaps(_box_of(t), _box_of(p))[0]  # noqa: B023, E731
-            if t["named"] is not None:
-                best = free.get(t["named"])
-            else:
-                best = max((p for p in free.values() if p["page"] == t["page"]), key=near, default=None)
-                if best is not None and near(best) < TRUTH_IOU:
-                    best = None
+        wanted, offered = (sorted(x, key=lambda r: r["id"]) for x in (wanted, offered))
+        boxes = np.array([_box_of(r) for r in (*wanted, *offered)], float).reshape(-1, 4)
+        iou_of = overlap_matrices(boxes)[0][: len(wanted), len(wanted) :]
+        free = np.ones(len(offered), bool)
+        ids, pages = np.array([p["id"] for p in offered]), np.array([p["page"] for p in offered])
+        for t, near in zip(wanted, iou_of, strict=True):
+            fits = free & ((ids == t["named"]) if t["named"] is not None else (pages == t["page"]) & (near >= TRUTH_IOU))
+            # the first of the largest; a table that is named is one
+            best = int(np.where(fits, near, -1.0).argmax()) if fits.any() else None
             if best is not None:
-                free.pop(best["id"])
-            yield number, t["id"], best and best["id"], best and near(best)
-        for p in free:
-            yield number, None, p, None
+                free[best] = False
+            yield number, t["id"], None if best is None else offered[best]["id"], None if best is None else float(near[best])
+        for i in np.flatnonzero(free).tolist():
+            yield number, None, offered[i]["id"], None
 
     schema = [("doc", pa.int64()), ("gt_id", pa.int64()), ("pred_id", pa.int64()), ("iou", pa.float64())]
     return _per_group(left.unionByName(right, allowMissingColumns=True), "doc", ["truth", "found"], one, schema)

@@ -26,7 +26,22 @@ def iou_best_match(spark, sf_dir):
     return fusion.best_match(left, right, ["page"]).withColumnsRenamed({"left_id": "native_id", "right_id": "det_id", "overlap": "overlap_min"})
 
 
-@query()
+# the folds of the order-dependent queries: one step an item, the state a list
+ITEMS = f"""{c.REGIONS}, dealt AS (SELECT page, id, role, x0, y0, x1, y1, row_number() OVER (PARTITION BY page ORDER BY CASE role WHEN 'passed' THEN 0 WHEN 'detected' THEN 1 ELSE 2 END, y0, x0, id) AS k
+  FROM (SELECT *, CASE WHEN kind = 'detection' THEN 'detected' WHEN passed THEN 'passed' ELSE 'repair' END AS role FROM (SELECT *, {REASON} AS reason FROM v_regions) WHERE reason IS NULL AND (kind = 'detection' OR strategy = 'lines')))"""
+BOX = "{{'x0': {0}.x0, 'y0': {0}.y0, 'x1': {0}.x1, 'y1': {0}.y1}}"
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, fold AS (
+  SELECT page, k, [{{'a': {BOX.format('i')}, 'b': {BOX.format('i')}, 'n': CAST(role <> 'detected' AS INT), 'd': CASE WHEN role = 'detected' THEN [{BOX.format('i')}] ELSE [] END}}] AS cs FROM dealt i WHERE k = 1
+  UNION ALL SELECT page, k, CASE WHEN pick IS NULL THEN list_append(cs, {{'a': i, 'b': i, 'n': CAST(role <> 'detected' AS INT), 'd': CASE WHEN role = 'detected' THEN [i] ELSE [] END}})
+    ELSE list_transform(cs, lambda r, j: CASE WHEN j = pick THEN {{'a': r.a, 'b': {{'x0': least(r.b.x0, i.x0), 'y0': least(r.b.y0, i.y0), 'x1': greatest(r.b.x1, i.x1), 'y1': greatest(r.b.y1, i.y1)}}, 'n': r.n + CAST(role <> 'detected' AS INT), 'd': CASE WHEN role = 'detected' THEN list_append(r.d, i) ELSE r.d END}} ELSE r END) END AS cs
+  FROM (SELECT *, coalesce(twin, -(list_sort(list_filter(list_transform(cs, lambda r, j: {{'iou': {c.sql_iou('r.a', 'i')}, 'low': {c.sql_overlap('r.a', 'i')}, 'j': -j, 'ok': role <> 'detected' OR r.n > 0 AND len(r.d) = 0}}), lambda m: m.ok AND (m.iou > 0 AND m.iou >= 0.25 OR m.low >= 0.72)), 'DESC')[1]).j) AS pick
+    FROM (SELECT *, CASE WHEN role = 'detected' THEN list_filter(list_transform(cs, lambda r, j: CASE WHEN len(list_filter(r.d, lambda o: {c.sql_iou('o', 'i')} >= 0.8)) > 0 THEN j END), lambda j: j IS NOT NULL)[1] END AS twin
+      FROM (SELECT f.page, i.k, i.role, f.cs, {BOX.format('i')} AS i FROM fold f JOIN dealt i ON i.page = f.page AND i.k = f.k + 1)))),
+ends AS (SELECT page, unnest(cs) AS r FROM (SELECT page, arg_max(cs, k) AS cs FROM fold GROUP BY page))
+SELECT page, 'p' || format('{{:04d}}', page) || '-candidate-' || format('{{:03d}}', row_number() OVER (PARTITION BY page ORDER BY r.a.y0, r.a.x0)) AS candidate_id,
+  CAST(r.n AS INT) AS n_native, CAST(len(r.d) AS INT) AS n_det, r.b.x0 AS x0, r.b.y0 AS y0, r.b.x1 AS x1, r.b.y1 AS y1 FROM ends""")
 def candidate_fusion(spark, sf_dir):
     r = decide.prefilter(c.regions(spark, sf_dir)).where("eligible and (kind = 'detection' or strategy = 'lines')")
     role = F.when(F.col("kind") == "detection", "detected").when(F.col("passed"), "passed").otherwise("repair")
@@ -34,13 +49,23 @@ def candidate_fusion(spark, sf_dir):
     return out.select("page", "candidate_id", F.size("native_ids").alias("n_native"), F.size("detection_ids").alias("n_det"), "x0", "y0", "x1", "y1")
 
 
-@query()
+@query(f"""WITH RECURSIVE {c.REGIONS}, dealt AS (SELECT page, id, {{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'ncols': ncols}} AS i, row_number() OVER (PARTITION BY page ORDER BY id) AS k FROM v_regions WHERE kind = 'native'),
+fold AS (SELECT page, id, k, true AS kept, [i] AS seen FROM dealt WHERE k = 1
+  UNION ALL SELECT page, id, k, kept, CASE WHEN kept THEN list_append(seen, i) ELSE seen END FROM (SELECT f.page, d.id, d.k, d.i, f.seen, len(list_filter(f.seen, lambda o: o.ncols = d.i.ncols AND {c.sql_iou('o', 'd.i')} > 0.9)) = 0 AS kept FROM fold f JOIN dealt d ON d.page = f.page AND d.k = f.k + 1))
+SELECT page, id, kept FROM fold""")
 def near_duplicate_tables(spark, sf_dir):
     r = c.regions(spark, sf_dir).where("kind = 'native'")
     return fusion.near_duplicates(r.select("page", "id", F.lit(2).alias("nrows"), "ncols", "box"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {c.REGIONS}, placed AS (SELECT page // 4 AS doc, page, id, kind, {{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} AS b FROM v_regions),
+truths AS (SELECT doc, page, id, b, CASE WHEN id % 13 = 0 THEN id + 1 END AS named, row_number() OVER (PARTITION BY doc ORDER BY id) AS k FROM placed WHERE kind = 'native'),
+offers AS (SELECT doc, list({{'id': id, 'page': page, 'b': b}} ORDER BY id) AS ps FROM placed WHERE kind = 'detection' GROUP BY doc),
+fold AS (SELECT doc, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS gt_id, CAST(NULL AS BIGINT) AS pred_id, CAST(NULL AS DOUBLE) AS iou, CAST([] AS BIGINT[]) AS used FROM (SELECT DISTINCT doc FROM placed)
+  UNION ALL SELECT doc, k, gt_id, best.id, best.iou, CASE WHEN best IS NULL THEN used ELSE list_append(used, best.id) END FROM (SELECT f.doc, t.k, t.id AS gt_id, f.used,
+    list_sort(list_filter(list_transform(coalesce(o.ps, []), lambda p: {{'iou': CAST({c.sql_iou('p.b', 't.b')} AS DOUBLE), 'turn': -p.id, 'id': p.id, 'page': p.page}}), lambda m: NOT list_contains(f.used, m.id) AND CASE WHEN t.named IS NULL THEN m.page = t.page AND m.iou >= 0.25 ELSE m.id = t.named END), 'DESC')[1] AS best
+    FROM fold f JOIN truths t ON t.doc = f.doc AND t.k = f.k + 1 LEFT JOIN offers o ON o.doc = f.doc))
+SELECT doc, gt_id, pred_id, iou FROM fold WHERE k > 0 UNION ALL SELECT p.doc, NULL, p.id, NULL FROM placed p WHERE kind = 'detection' AND NOT EXISTS (SELECT 1 FROM fold f WHERE f.pred_id = p.id)""")
 def gt_match(spark, sf_dir):
     r = c.regions(spark, sf_dir).select(F.floor(F.col("page") / 4).cast("long").alias("doc"), "page", "id", "kind", "box")
     named = F.when(F.col("id") % 13 == 0, F.col("id") + 1)
