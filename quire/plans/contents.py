@@ -96,10 +96,18 @@ def render_inline(spark, sf_dir):
     return out.select("conv_id", "ord", content.inline_html(F.col("text"), F.col("runs")).alias("html"), content.inline_markdown(F.col("text"), F.col("runs")).alias("markdown"))
 
 
-@query(f"WITH {c.FLOW} SELECT conv_id, section + 1 AS number, count(*) AS n_items, string_agg(kind, ',' ORDER BY ord) AS kinds FROM v_sections GROUP BY ALL")
+# every fourth turn shows a table; a third of these tables do not exist, and their blocks are left out
+SHOWN = f"""{c.FLOW}, v_blocks AS (SELECT *, CASE WHEN turn % 4 = 3 THEN conv_id * 10 + turn END AS table_id FROM v_sections),
+v_shown AS (SELECT conv_id, section, ord, CASE WHEN table_id IS NULL THEN kind ELSE 'table' END AS kind FROM v_blocks WHERE table_id IS NULL OR table_id % 3 > 0)"""
+
+
+@query(f"WITH {SHOWN} SELECT conv_id, section + 1 AS number, count(*) AS n_items, string_agg(kind, ',' ORDER BY ord) AS kinds FROM v_shown GROUP BY ALL")
 def section_content(spark, sf_dir):
     own = flow.section_index(c.flow(spark, sf_dir), ["conv_id"], "turn", "is_heading")
-    return own.groupBy("conv_id", (F.col("section") + 1).alias("number")).agg(F.count(F.lit(1)).alias("n_items"), in_order(["ord"], "kind", ",").alias("kinds"))
+    own = own.withColumn("table_id", F.when(F.col("turn") % 4 == 3, F.col("conv_id") * 10 + F.col("turn")))
+    tables = own.where("table_id % 3 > 0").select("conv_id", "table_id")
+    shown = content.with_tables(own, tables, ["conv_id"]).withColumn("kind", F.when(F.col("table_id").isNull(), F.col("kind")).otherwise("table"))
+    return shown.groupBy("conv_id", (F.col("section") + 1).alias("number")).agg(F.count(F.lit(1)).alias("n_items"), in_order(["ord"], "kind", ",").alias("kinds"))
 
 
 HTML_TEXT = f"replace({ESC.format('text')}, chr(10), '<br>' || chr(10))"
@@ -121,6 +129,27 @@ def render_markdown(spark, sf_dir):
     return content.render_units(own, ["conv_id"], "section", "markdown")
 
 
+AREA = "CASE turn WHEN 4 THEN 'footnotes' WHEN 5 THEN 'footers' WHEN 6 THEN 'headers' WHEN 7 THEN 'endnotes' END"
+PLACE = "CASE turn WHEN 4 THEN 2 WHEN 5 THEN 1 WHEN 6 THEN 0 WHEN 7 THEN 3 ELSE -1 END"
+KIND = "CASE turn WHEN 4 THEN 'footnotes' WHEN 5 THEN 'footer' WHEN 6 THEN 'header' WHEN 7 THEN 'endnotes' END"
+
+
+def _parts(spark, sf_dir):
+    """Items of the body and of supplementary parts: the turns from 4 on."""
+    own = _items(spark, sf_dir).withColumn("number", F.col("section") + 1)
+    area = F.when(F.col("turn") == 4, "footnotes").when(F.col("turn") == 5, "footers").when(F.col("turn") == 6, "headers").when(F.col("turn") == 7, "endnotes")
+    own = own.withColumn("area", area).withColumn("part", F.col("turn").cast("string"))
+    return own.where("area is null"), own.where("area is not null")
+
+
+@query(f"""WITH {ITEMS}, units AS (SELECT conv_id, -1 AS place, section, '<section data-section="' || (section + 1) || '">' || chr(10) || string_agg({HTML_ITEM}, chr(10) ORDER BY ord) || chr(10) || '</section>' AS t FROM items WHERE turn < 4 GROUP BY conv_id, section
+  UNION ALL SELECT conv_id, {PLACE}, 0, '<aside data-content-kind="' || {KIND} || '">' || chr(10) || string_agg({HTML_ITEM}, chr(10) ORDER BY ord) || chr(10) || '</aside>' FROM items WHERE turn >= 4 GROUP BY conv_id, turn)
+SELECT conv_id, string_agg(t, chr(10) ORDER BY place, section) AS text FROM units GROUP BY conv_id""")
+def supplementary_html(spark, sf_dir):
+    body, more = _parts(spark, sf_dir)
+    return content.render_units(body, ["conv_id"], "section", "html", more)
+
+
 @query("""WITH RECURSIVE shown AS (SELECT p_partkey AS root, p_partkey AS id, 0 AS depth FROM part WHERE p_partkey < 4 UNION ALL SELECT s.root, l.p_partkey, s.depth + 1 FROM shown s JOIN part l ON l.p_partkey // 4 = s.id AND l.p_partkey >= 4)
 SELECT root, id, depth FROM shown""")
 def nested_tables(spark, sf_dir):
@@ -129,6 +158,28 @@ def nested_tables(spark, sf_dir):
     return content.nested_tables(links, part.join(links, "id", "left_anti"))
 
 
+# every part is a table of one row: its name, and a cell that holds the tables of up to four other parts, the last first
+@query(f"""WITH RECURSIVE shown AS (SELECT p_partkey AS root, p_partkey AS id, [CAST(0 AS BIGINT)] AS path FROM part WHERE p_partkey < 4 UNION ALL SELECT s.root, l.p_partkey, list_append(s.path, -l.p_partkey) FROM shown s JOIN part l ON l.p_partkey // 4 = s.id AND l.p_partkey >= 4),
+ends AS (SELECT root, path, '<table>' || chr(10) || '<tr>' || chr(10) || '<td data-row="0" data-col="0">' || {ESC.format('p_name')} || '</td>' || chr(10) || '<td data-row="0" data-col="1">' AS t FROM shown JOIN part ON p_partkey = id
+  UNION ALL SELECT root, list_append(path, 1), '</td>' || chr(10) || '</tr>' || chr(10) || '</table>' FROM shown)
+SELECT root AS table_id, string_agg(t, '' ORDER BY path) AS html FROM ends GROUP BY root""")
+def nested_table_html(spark, sf_dir):
+    part = c.table(spark, sf_dir, "part").select(F.lit(0).alias("doc"), F.col("p_partkey").cast("long").alias("table_id"), "p_name")
+    links = part.where("table_id >= 4").groupBy("doc", F.floor(F.col("table_id") / 4).cast("long").alias("table_id")).agg(F.sort_array(F.collect_list("table_id"), asc=False).alias("nested"))
+    one = lambda col, text, nested: F.struct(F.lit(0).alias("row"), F.lit(col).alias("col"), F.lit(1).alias("rowspan"), F.lit(1).alias("colspan"), text.alias("text"), F.lit(False).alias("header"), nested.alias("nested"))
+    both = part.join(links, ["doc", "table_id"], "left").select("doc", "table_id", F.inline(F.array(one(0, F.col("p_name"), F.lit(None).cast("array<bigint>")), one(1, F.lit("[嵌套表格 x]"), F.col("nested")))))
+    tables = part.select("doc", "table_id", F.lit(1).alias("nrows"), F.lit(2).alias("ncols"))
+    return content.nested_render(both, tables, part.where("table_id < 4").select("doc", "table_id"), ["doc"]).select("table_id", "html")
+
+
+@query("SELECT p_partkey AS table_id FROM part WHERE p_partkey NOT IN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def nested_only_tables(spark, sf_dir):
+    """Parts are tables; line items of large quantity are the blocks that show them."""
+    tables = c.table(spark, sf_dir, "part").select(F.lit(0).alias("doc"), F.col("p_partkey").cast("long").alias("table_id"))
+    blocks = c.table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.lit(0).alias("doc"), F.col("l_partkey").cast("long").alias("table_id"))
+    return content.nested_only(tables, blocks, ["doc"]).select("table_id")
+
+
 @query(f"""WITH {ITEMS}, units AS (SELECT conv_id, section + 1 AS number, list({{'type': type, 'text': text, 'level': CAST(level AS INT), 'format': format}} ORDER BY ord) AS content FROM items GROUP BY conv_id, section),
 docs AS (SELECT conv_id, list({{'type': 'section', 'number': number, 'content': content}} ORDER BY number) AS content FROM units GROUP BY conv_id)
 SELECT conv_id, CAST(to_json({{'schema_version': '1.0', 'source_format': 'docx', 'structure': 'sections', 'content': content, 'title': CASE WHEN conv_id % 3 > 0 THEN 'c' || conv_id END}}) AS VARCHAR) AS json FROM docs""")
