@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import id_and_text, materialize, per_batch
 
 TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, (0).to_bytes(4, "little")
-CACHED, CACHED_LENGTH = 200_000, 48
+CACHED, FRESH, CACHED_LENGTH = 300_000, 100_000, 48
 #: words of Latin-1 letters and a run of other signs, which the tokenizer always separates from each other; not
 #: the apostrophe, which may begin a token with the letters after it, and the signs of special tokens
 SEPARABLE = re.compile(r'([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*+/=@^~()\[\]{}_"-]*)').fullmatch
@@ -69,60 +69,81 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {"": b""}  # chunks, and the words and signs that they are made of
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        #: whether a token ends a word; a tokenizer that does not mark this is asked word by word
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        # chunks, and the words and signs that they are made of: those asked for more than once, and those asked for
+        # lately in two generations
+        self.known: dict[str, bytes] = {"": b""}
+        self.fresh: dict[str, bytes] = {}
+        self.stale: dict[str, bytes] = {}
 
     def _ask(self, texts: list[str]) -> dict[str, bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return {t: np.array(e.ids, "<u4").tobytes() for t, e in zip(texts, got, strict=True)}
 
     def _ask_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words of Latin letters: one text of them all, cut where the tokenizer's word number changes."""
-        got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, turn = np.array(got.ids, "<u4"), np.array(got.word_ids, np.int64)
-        at = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(ids)]
+        """Ids of words of Latin letters: one text of them all, cut after the tokens that end a word."""
+        (got,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(got.ids, "<u4")
+        at = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
         if len(at) != len(words) + 1:
             return self._ask(words)
         raw = ids.tobytes()
         return {w: raw[4 * a : 4 * b] for w, a, b in zip(words, at, at[1:], strict=False)}
 
     def _learn(self, unknown: set[str]) -> dict[str, bytes]:
-        """Ids of chunks, kept only if short."""
-        if len(self.known) + len(unknown) > CACHED:
-            self.known = {"": b""}
-        known, new, hard, late = self.known, {}, [], []
-        for c in unknown:
+        """Ids of chunks that are not known. What is short is remembered, for good when it is asked for again."""
+        known, fresh, stale = self.known, self.fresh, self.stale
+        new = {c: some.pop(c) for some in (fresh, stale) for c in unknown & some.keys()}
+        known.update(new)
+        rest = unknown.difference(new) if new else unknown
+        plain = {c: c.lower() for c in rest if c.isascii() and c.isalpha()}
+        words = set(plain.values())
+        hard, ended, signs = [], [], set()
+        for c in rest.difference(plain):
             if m := SEPARABLE(c):
                 w, p = m.groups()
                 w = w.lower()
-                if (ids := known.get(w)) is not None and (not p or p in known):
-                    new[c] = ids + known[p] if p else ids
-                else:
-                    late.append((c, w, p))
+                ended.append((c, w, p))
+                words.add(w)
+                signs.add(p)
             else:
                 hard.append(c)
-        if late:
-            got = self._ask_words(ask) if (ask := [*{w for _, w, _ in late if w not in known}]) else {}
-            if ask := [*{p for _, _, p in late if p not in known}]:
-                got.update(self._ask(ask))
-            for c, w, p in late:
-                new[c] = (got[w] if w in got else known[w]) + (got[p] if p in got else known[p])
-            known.update(_short(got))
+        ids = {w: known.get(w) or fresh.get(w) or stale.get(w) for w in words}
+        if ask := [w for w, v in ids.items() if v is None]:
+            got = self._ask_words(ask)
+            ids.update(got)
+            fresh.update(_short(got))
+        new.update(zip(plain, map(ids.__getitem__, plain.values()), strict=True))
+        made = {c: ids[w] for c, w in plain.items() if c != w}
+        if ended:
+            ends = {p: known.get(p) for p in signs}
+            if ask := [p for p, v in ends.items() if v is None]:
+                got = self._ask(ask)
+                ends.update(got)
+                known.update(_short(got))
+            made.update({c: ids[w] + ends[p] for c, w, p in ended})
         if hard:
-            new.update(self._ask(hard))
-        known.update(_short(new))
+            made.update(self._ask(hard))
+        new.update(made)
+        fresh.update(_short(made))
         return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [chunks_of(t) for t in texts]
-        before = self.known
-        unknown = set().union(*split).difference(before)
-        find = (self._learn(unknown) if unknown else before).get
-        out = []
-        for chunks in split:
-            try:
-                out.append(b"".join(map(before.__getitem__, chunks)))
-            except KeyError:  # the cache was renewed, or holds no long chunks
-                out.append(b"".join([before[c] if c in before else find(c) for c in chunks]))
+        if len(self.known) > CACHED:
+            self.known = {"": b""}
+        if len(self.fresh) > FRESH:
+            self.stale, self.fresh = self.fresh, {}
+        split, known = [chunks_of(t) for t in texts], self.known
+        new = self._learn(unknown) if (unknown := set().union(*split).difference(known)) else {}
+        passing = new.keys() - known.keys()  # for these texts only
+        known.update(new)
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for c in passing:
+            del known[c]
         return out
 
 
