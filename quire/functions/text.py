@@ -15,16 +15,6 @@ def without(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, pattern, "")
 
 
-def fold(text: Column) -> Column:
-    """Case folding of what the corpus languages use: lower case, sharp s and final sigma resolved."""
-    return F.translate(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), "ς", "σ")
-
-
-def normalized(text: Column) -> Column:
-    """Letters and digits only, case-folded."""
-    return fold(without(text, "[^\\p{L}\\p{N}]"))
-
-
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
 

@@ -8,21 +8,45 @@ from pyspark.sql import functions as F
 from quire.tables import materialize
 
 
-def round_robin(files: DataFrame, order: str, count: int) -> DataFrame:
-    """shard: the file's place in the sorted list, modulo count.
+def places(rows: DataFrame, order: str, name: str = "place") -> DataFrame:
+    """The place of each row in the sorted list, from 0.
 
     Places are computed without one global sort task: the list is ranged into parts once and written, parts are
-    counted, and a file's place is its part's first place and its rank within.
+    counted, and a row's place is its part's first place and its rank within.
     """
-    if count < 1:
-        raise ValueError("at least one shard")
-    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(files.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id()), "ranged")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(rows.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id()), "ranged")
     within = ranged.withColumn("within", F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1)
     sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     first = sizes.withColumn("first", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
     placed = within.join(first.select("part", F.coalesce("first", F.lit(0)).alias("first")), "part")
-    return placed.withColumn("shard", F.pmod(F.col("first") + F.col("within"), F.lit(count)).cast("int")).drop("part", "within", "first")
+    return placed.withColumn(name, F.col("first") + F.col("within")).drop("part", "within", "first")
+
+
+def round_robin(files: DataFrame, order: str, count: int) -> DataFrame:
+    """shard: the file's place in the sorted list, modulo count."""
+    if count < 1:
+        raise ValueError("at least one shard")
+    return places(files, order).withColumn("shard", F.pmod(F.col("place"), F.lit(count)).cast("int")).drop("place")
+
+
+def launchable(files: DataFrame, workers: int, previous: DataFrame | None = None, previous_workers: int | None = None) -> None:
+    """Refuse a batch with more workers than files, or one that resumes another with other workers or another list.
+
+    files and previous: input. The lists are compared by their numbers and by what only one of them has.
+    """
+    n = files.count()
+    if not 1 <= workers <= n:
+        raise ValueError(f"{workers} workers for {n} files")
+    if previous is not None:
+        alike = previous.count() == n and files.select("input").exceptAll(previous.select("input")).isEmpty()
+        if workers != previous_workers or not alike:
+            raise ValueError("a batch is resumed with the same files and as many workers")
+
+
+def exit_code(summaries: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, exit_code: 1 if any document did not end well, else 0. summaries: keys, status."""
+    return summaries.groupBy(*keys).agg(F.max((F.coalesce("status", F.lit("")) != "ok").cast("int")).alias("exit_code"))
 
 
 def resume(wanted: DataFrame, finished: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

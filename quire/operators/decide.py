@@ -15,6 +15,12 @@ DETECTION_SCORE, EVIDENCE_THRESHOLD = 0.85, 4
 BOTTOM, TOP = 0.78, 0.25
 
 
+def proposals(native: DataFrame, detections: DataFrame) -> DataFrame:
+    """Native tables and detections as one list; what only one side has is null on the other."""
+    both = [d.withColumn("kind", F.lit(kind)) for d, kind in ((native, "native"), (detections, "detection"))]
+    return both[0].unionByName(both[1], allowMissingColumns=True)
+
+
 def prefilter(proposals: DataFrame) -> DataFrame:
     """proposals: kind (native | detection), passed, strong, label. Adds eligible and reason.
 
@@ -45,6 +51,26 @@ def structure_proposal(items: DataFrame, keys: list[str]) -> DataFrame:
     return items.withColumn("turn", F.row_number().over(by)).where("turn = 1").drop("turn")
 
 
+def best_structure(structures: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the structures found for a candidate the one by (confidence, cells); the first among equals.
+
+    structures: keys, id, confidence, n_cells.
+    """
+    order = F.struct(F.coalesce("confidence", F.lit(float("-inf"))).alias("confidence"), "n_cells", (-F.col("id")).alias("turn"))
+    best = structures.groupBy(*keys).agg(F.max(order).alias("best"))
+    return best.select(*keys, (-F.col("best.turn")).alias("id"), F.col("best.n_cells").alias("n_cells"))
+
+
+def rejected(filtered: DataFrame, decided: DataFrame, keys: list[str]) -> DataFrame:
+    """What did not become a table: proposals that the prefilter refused, and candidates that ended without a table.
+
+    filtered: prefilter's output with keys and id; decided: keys, candidate, decision. Gives keys, stage, item, reason.
+    """
+    early = filtered.where(~F.col("eligible")).select(*keys, F.lit("proposal").alias("stage"), F.col("id").cast("string").alias("item"), "reason")
+    late = decided.where(~F.col("decision").startswith("accepted_")).select(*keys, F.lit("candidate").alias("stage"), F.col("candidate").cast("string").alias("item"), F.col("decision").alias("reason"))
+    return early.unionByName(late)
+
+
 def evidence(max_detection: Column, native_grid: Column, partial_structure: Column, strong: Column, threshold: int = EVIDENCE_THRESHOLD) -> Column:
     """A struct of score, structural and sufficient."""
     point = lambda c, n: F.when(c, n).otherwise(0)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import REPLACEMENT, SPACE, is_blank, normalized, without
+from quire.functions.text import REPLACEMENT, SPACE, is_blank, without
 
 FATAL = ("empty_table", "too_few_rows", "too_few_columns", "invalid_cell_index_or_span", "overlapping_cells", "nonrectangular_grid", "mostly_empty_cells", "replacement_character")
 MOSTLY_EMPTY, NONEMPTY, RECALL, RECALL_FALLBACK, RECALL_FROM, CONFIDENCE = 0.72, 0.28, 0.35, 0.45, 8, 0.25
@@ -80,8 +84,26 @@ def grid_fill(cells: DataFrame, keys: list[str], size: DataFrame | None = None)
 
 
 def character_counts(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    chars = texts.select(*keys, F.explode(F.split(normalized(F.col(text)), "")).alias("ch")).where("ch <> ''")
-    return chars.groupBy(*keys, "ch").agg(F.count(F.lit(1)).alias("n"))
+    """keys, ch, n: the letters and digits of texts, each case-folded in full, counted within each text before rows meet."""
+    own = texts.select(*keys, F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, chars, counts = [], [], []
+            for i, value in enumerate(batch.column("text").to_pylist()):
+                found: Counter[str] = Counter()
+                for ch, n in Counter(value or "").items():
+                    if ch.isalnum():
+                        for folded in ch.casefold():
+                            found[folded] += n
+                rows += [i] * len(found)
+                chars += found.keys()
+                counts += found.values()
+            at = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), pa.array(chars, pa.string()), pa.array(counts, pa.int64())], [*keys, "ch", "n"])
+
+    kinds = ", ".join(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keys)
+    return own.mapInArrow(run, f"{kinds}, ch string, n long").groupBy(*keys, "ch").agg(F.sum("n").alias("n"))
 
 
 def text_recall(reference: DataFrame, prediction: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,9 @@ All joins are equi-joins on the page keys with the geometric test as a residual
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,19 +52,30 @@ def text_lines(words: DataFrame, keys: list[str], line: list[str]) -> DataFrame:
 
 def cluster_lines(words: DataFrame, keys: list[str], order: Column | str, tolerance: float = TOLERANCE) -> DataFrame:
     """Line numbers for words without lines: top to bottom, a new line where the middle of a word is more than
-    ``tolerance`` from a running mean that halves with every word. One fold over the sorted words of a page."""
+    ``tolerance`` from a running mean that halves with every word. One pass over the sorted words of each page."""
     middle = (F.col("box.y0") + F.col("box.y1")) / 2
-    rows = F.array_sort(F.collect_list(F.struct(F.col("box.y0").alias("y"), F.col("box.x0").alias("x"), (F.col(order) if isinstance(order, str) else order).alias("word"), middle.alias("middle"))))
-    start = F.struct(F.lit(0).alias("line"), F.lit(None).cast("double").alias("last"), F.array().cast("array<struct<word:bigint,line:int>>").alias("out"))
-
-    def step(state: Column, w: Column) -> Column:
-        line = state.line + F.coalesce(F.abs(w.middle - state.last) > tolerance, F.lit(False)).cast("int")
-        last = F.when(state.last.isNull(), w.middle).otherwise((state.last + w.middle) / 2)
-        row = F.struct(w.word.cast("bigint").alias("word"), line.alias("line"))
-        return F.struct(line.alias("line"), last.alias("last"), F.concat(state.out, F.array(row)).alias("out"))
-
-    folded = words.groupBy(*keys).agg(rows.alias("rows")).select(*keys, F.aggregate("rows", start, step).out.alias("out"))
-    return folded.select(*keys, F.inline("out"))
+    rows = F.array_sort(F.collect_list(F.struct(F.col("box.y0").alias("y"), F.col("box.x0").alias("x"), (F.col(order) if isinstance(order, str) else order).cast("long").alias("word"), middle.alias("middle"))))
+    pages = words.groupBy(*keys).agg(rows.alias("rows")).select(*keys, F.col("rows.word").alias("word"), F.col("rows.middle").alias("middle"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            page, word, line = [], [], []
+            for i, (ids, middles) in enumerate(zip(batch.column("word").to_pylist(), batch.column("middle").to_pylist(), strict=True)):
+                number, last = 0, None
+                for own in middles:
+                    if last is None:
+                        last = own
+                    else:
+                        number += abs(own - last) > tolerance
+                        last = (last + own) / 2
+                    line.append(number)
+                word += ids
+                page += [i] * len(ids)
+            at = pa.array(page, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), pa.array(word, pa.int64()), pa.array(line, pa.int32())], [*keys, "word", "line"])
+
+    kinds = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keys)
+    return pages.mapInArrow(run, f"{kinds}, word long, line int")
 
 
 def reading_order(items: DataFrame, keys: list[str]) -> DataFrame:

@@ -236,6 +236,34 @@ def metric_rows(matches: DataFrame, scores: DataFrame) -> DataFrame:
     return both.select("gt_id", "pred_id", *(v.alias(k) for k, v in zero.items()), F.when(missed, "missed").otherwise("matched").alias("status"))
 
 
+#: what readers of an evaluation should know
+NOTES = ("The structural tree score leaves the text of cells out.", "The location score needs boxes of all cells on both sides.")
+
+
+def evaluation_rows(matches: DataFrame, scores: DataFrame) -> DataFrame:
+    """metric_rows, and a row without scores for each prediction that no truth took (status false_positive)."""
+    wrong = matches.where("gt_id is null").select("gt_id", "pred_id", *(F.lit(None).cast("double").alias(f) for f in FIELDS), F.lit("false_positive").alias("status"))
+    return metric_rows(matches, scores).unionByName(wrong)
+
+
+def evaluation_summary(documents: DataFrame, rows: DataFrame, key: str = "doc") -> DataFrame:
+    """One row per document: status (computed, or not_computed without ground truth), truths, matched, missed and false
+    positives, the mean of each metric over the rows that have it, notes. Agreement of models is no accuracy, so
+    nothing is computed without truths.
+
+    documents: key; rows: key and evaluation_rows' columns.
+    """
+    n = lambda status: F.sum((F.col("status") == status).cast("long"))
+    own = rows.groupBy(key).agg(n("matched").alias("matched"), n("missed").alias("missed"), n("false_positive").alias("false_positives"), *(F.avg(f).alias(f) for f in FIELDS))
+    both = documents.select(key).distinct().join(own, key, "left").fillna(0, ["matched", "missed", "false_positives"])
+    truths = F.col("matched") + F.col("missed")
+    some = truths > 0
+    return both.select(
+        key, F.when(some, "computed").otherwise("not_computed").alias("status"), truths.alias("truths"), "matched", "missed", F.when(some, F.col("false_positives")).otherwise(0).alias("false_positives"),
+        *(F.when(some, F.col(f)).alias(f) for f in FIELDS), F.when(some, F.array(*map(F.lit, NOTES))).otherwise(F.array(F.lit("no ground truth was given"))).alias("notes"),
+    )
+
+
 def metric_aggregate(rows: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """metric, mean (over rows that have it, null if none), n. One pass, then one row per metric."""
     one = rows.agg(*[a for f in fields for a in (F.avg(f).alias(f"{f}_mean"), F.count(f).alias(f"{f}_n"))])

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAST_KERNEL, KERNEL_SHARE, RULE_SHARE, RULES, CROSSINGS = 12, 18, 0.35, 3, 8
+LEAST_KERNEL, KERNEL_SHARE, RULE_SHARE, RULES, CROSSINGS, PADDING = 12, 18, 0.35, 3, 8, 10
 
 
 def otsu(gray: np.ndarray) -> int:
@@ -79,6 +79,16 @@ def grid_evidence(gray: np.ndarray) -> tuple[int, int, int, bool]:
     return h, v, crossing, h >= RULES and v >= RULES and crossing >= CROSSINGS
 
 
+def _gray(data: bytes, width: int, height: int, channels: int) -> np.ndarray:
+    pixels = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    gray = pixels[:, :, 0] if channels == 1 else np.rint(pixels[:, :, :3].astype(float) @ np.array([0.114, 0.587, 0.299]))
+    return gray.astype(np.uint8)
+
+
+EVIDENCE = ["horizontal_rules", "vertical_rules", "intersection_pixels", "strong", "error"]
+KINDS = "horizontal_rules int, vertical_rules int, intersection_pixels int, strong boolean, error string"
+
+
 def visual_grid(rasters: DataFrame, key: str) -> DataFrame:
     """rasters: key, width, height, channels, data (rows of bytes). One row of evidence each; broken data is not strong."""
     own = rasters.select(F.col(key).alias("key"), "width", "height", "channels", "data")
@@ -89,12 +99,46 @@ def visual_grid(rasters: DataFrame, key: str) -> DataFrame:
             out = []
             for r in pdf.itertuples(index=False):
                 try:
-                    pixels = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels).astype(float)
-                    gray = pixels[:, :, 0] if r.channels == 1 else pixels[:, :, :3] @ np.array([0.114, 0.587, 0.299])
-                    out.append((r.key, *grid_evidence(np.rint(gray).astype(np.uint8)), None))
+                    out.append((r.key, *grid_evidence(_gray(r.data, r.width, r.height, r.channels)), None))
                 except (ValueError, TypeError) as problem:
                     out.append((r.key, 0, 0, 0, False, str(problem)))
-            yield pd.DataFrame(out, columns=["key", "horizontal_rules", "vertical_rules", "intersection_pixels", "strong", "error"])
+            yield pd.DataFrame(out, columns=["key", *EVIDENCE])
+
+    return own.mapInPandas(run, f"key {kind}, {KINDS}").withColumnRenamed("key", key)
+
+
+def region_evidence(rasters: DataFrame, regions: DataFrame, page: str = "page", padding: int = PADDING) -> DataFrame:
+    """The evidence of each region, measured in its crop of the page's raster.
 
-    found = own.mapInPandas(run, f"key {kind}, horizontal_rules int, vertical_rules int, intersection_pixels int, strong boolean, error string")
-    return found.withColumnRenamed("key", key)
+    rasters: page, width, height, channels, data, page_width, page_height (in points); regions: page, id, box (in
+    points). The crop is the box in pixels, widened by ``padding`` and kept within the raster; an empty one is not
+    strong. A page's raster is read once for all its regions. Gives page, id, crop (left, top, right, bottom) and the
+    evidence; regions of pages without a raster have an error.
+    """
+    of_page = regions.groupBy(F.col(page).cast("long").alias("page")).agg(F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "box.x0", "box.y0", "box.x1", "box.y1")).alias("boxes"))
+    both = of_page.join(rasters.withColumn("page", F.col(page).cast("long")), "page", "left").select("page", "boxes", "width", "height", "channels", "data", "page_width", "page_height")
+
+    def run(frames):
+        for pdf in frames:
+            out = []
+            for r in pdf.itertuples(index=False):
+                try:
+                    gray, problem = _gray(r.data, int(r.width), int(r.height), int(r.channels)), None
+                except (ValueError, TypeError) as broken:
+                    gray, problem = None, str(broken)
+                for b in r.boxes:
+                    if gray is None:
+                        out.append((r.page, b["id"], None, None, None, None, 0, 0, 0, False, problem))
+                        continue
+                    sx, sy = r.width / r.page_width, r.height / r.page_height
+                    left, top = max(0, int(b["x0"] * sx) - padding), max(0, int(b["y0"] * sy) - padding)
+                    right, bottom = min(int(r.width), int(b["x1"] * sx) + padding), min(int(r.height), int(b["y1"] * sy) + padding)
+                    empty = right <= left or bottom <= top
+                    found = (0, 0, 0, False, "empty proposal crop") if empty else (*grid_evidence(gray[top:bottom, left:right]), None)
+                    out.append((r.page, b["id"], left, top, right, bottom, *found))
+            corners = ["left", "top", "right", "bottom"]
+            yield pd.DataFrame(out, columns=["page", "id", *corners, *EVIDENCE]).astype({c: "Int32" for c in corners})
+
+    found = both.mapInPandas(run, f"page long, id long, left int, top int, right int, bottom int, {KINDS}")
+    crop = F.when(F.col("left").isNotNull(), F.struct("left", "top", "right", "bottom"))
+    return found.withColumn("crop", crop).drop("left", "top", "right", "bottom").withColumnRenamed("page", page)

@@ -37,6 +37,21 @@ def run_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
 
+@query(f"""WITH {PAGES}, s AS (SELECT conv_id, count(error) > 0 AS bad FROM pages_of GROUP BY conv_id)
+SELECT 'worker-' || conv_id % 6 AS worker, max(CAST(bad AS INT)) AS exit_code FROM s GROUP BY 1""")
+def run_exit(spark, sf_dir):
+    worker = F.concat(F.lit("worker-"), (F.col("conv_id") % 6).cast("string"))
+    return batch.exit_code(_summary(spark, sf_dir).withColumn("worker", worker), ["worker"])
+
+
+@query(f"""WITH {PAGES}, s AS (SELECT 'conv-' || conv_id AS input, CASE WHEN count(error) > 0 THEN 'partial' ELSE 'ok' END AS status FROM pages_of GROUP BY conv_id)
+SELECT input, status, row_number() OVER (ORDER BY input) - 1 AS place FROM s""")
+def summary_order(spark, sf_dir):
+    """Summaries with their places by input, as text."""
+    own = _summary(spark, sf_dir).select(F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("input"), "status")
+    return batch.places(own, "input")
+
+
 @query(f"""WITH {PAGES}, s AS (SELECT conv_id, count(*) FILTER (WHERE error IS NULL) AS processed_pages, CAST(coalesce(sum(n_tables) FILTER (WHERE error IS NULL), 0) AS BIGINT) AS tables FROM pages_of GROUP BY conv_id),
 sums AS (SELECT 'worker-' || conv_id % 6 AS worker, count(*) AS documents, CAST(sum(processed_pages) AS BIGINT) AS pages, CAST(sum(tables) AS BIGINT) AS tables FROM s GROUP BY 1), exits(worker, exit_code) AS (VALUES ('worker-0', 0), ('worker-1', 1), ('worker-2', 0), ('worker-3', 0), ('worker-7', 0))
 SELECT worker, coalesce(exit_code, -99) AS exit_code, coalesce(documents, 0) AS documents, coalesce(pages, 0) AS pages, coalesce(tables, 0) AS tables, coalesce(exit_code <> 0, true) AS failed FROM sums FULL JOIN exits USING (worker)""")

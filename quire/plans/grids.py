@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions.geometry import box
-from quire.operators import content, grid, metrics, vision
+from quire.operators import content, grid, metrics, structure, vision
 from quire.plans.registry import query
 from quire.sources import carriers as c
 from quire.sources.html_tables import html_table_cells
@@ -123,6 +123,22 @@ def structure_cells(spark, sf_dir):
     return grid.structure_cells(numbers)
 
 
+# tables of 3 rows and 2 to 5 columns, each row found twice; every second has its first two cells of the first row merged
+@query("""WITH t AS (SELECT p_partkey AS table_id, CAST(2 + p_partkey % 4 AS INT) AS n FROM part), g AS (SELECT table_id, n, CAST(r AS INT) AS r, CAST(k AS INT) AS k FROM t, unnest(range(0, 3)) a(r), unnest(range(0, n)) b(k))
+SELECT table_id, r AS "row", k AS col, CAST(1 AS INT) AS rowspan, CAST(CASE WHEN r = 0 AND k = 0 AND table_id % 2 = 0 THEN 2 ELSE 1 END AS INT) AS colspan, r = 0 AS header, CAST(k * 30 AS DOUBLE) AS x0, CAST(r * 20 AS DOUBLE) AS y0 FROM g WHERE NOT (r = 0 AND k = 1 AND table_id % 2 = 0)""")
+def structure_objects(spark, sf_dir):
+    """Objects to structures to cells; weaker objects beside the rows and one too weak to count are left out."""
+    t = c.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("table_id"), (F.col("p_partkey") % 4 + 2).cast("int").alias("n"))
+    one = lambda label, score, *place: F.struct(F.lit(label).alias("label"), F.lit(score).alias("score"), box(*(x if hasattr(x, "cast") else F.lit(float(x)) for x in place)).alias("box"))
+    wide = F.col("n") * 30.0
+    rows = [one("table row", score, 0, 20 * r + shift, wide, 20 * r + 20 + shift) for r in range(3) for score, shift in ((0.75, 0), (0.625, 3))]
+    columns = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: one("table column", 0.875, k * 30.0, 0, k * 30.0 + 30.0, 60))
+    more = [one("table column header", 0.9, 0, 0, wide, 21), one("table column", 0.25, 10, 0, 50, 60)]
+    merged = F.when(F.col("table_id") % 2 == 0, F.array(one("table spanning cell", 0.8, 0, 0, 58, 19))).otherwise(F.array().cast("array<struct<label:string,score:double,box:struct<x0:double,y0:double,x1:double,y1:double>>>"))
+    objects = t.select("table_id", F.inline(F.concat(F.array(*rows, *more), columns, merged)))
+    return grid.structure_cells(structure.structures(objects, "table_id")).select("table_id", "row", "col", "rowspan", "colspan", "header", "x0", "y0")
+
+
 def _truth_pairs(spark, sf_dir):
     """Every table against the next order's table; no html, and so no score, where that order has none."""
     made = content.table_html(c.plain_cells(spark, sf_dir), KEYS)
@@ -153,23 +169,76 @@ def cell_text_distance(spark, sf_dir):
 
 
 @query("""SELECT metric, mean, n FROM (SELECT unnest([{'metric': 'teds', 'mean': avg(a), 'n': count(a)}, {'metric': 'teds_s', 'mean': avg(b), 'n': count(b)}, {'metric': 'grits_loc', 'mean': avg(z), 'n': count(z)}], recursive := true) FROM
-(SELECT CASE WHEN toxic = 1 THEN 0 ELSE CAST(quality AS DOUBLE) END AS a, CASE WHEN toxic = 1 THEN 0 ELSE (doc_id % 8) / CAST(8 AS DOUBLE) END AS b, CASE WHEN toxic = 1 THEN CASE WHEN doc_id % 2 = 0 THEN CAST(0 AS DOUBLE) END END AS z FROM labels))""")
+(SELECT CASE WHEN toxic = 1 THEN 0 ELSE CAST(quality AS DOUBLE) END AS a, CASE WHEN toxic = 1 THEN 0 ELSE (doc_id % 8) / CAST(8 AS DOUBLE) END AS b, CASE WHEN toxic = 1 THEN CASE WHEN doc_id % 2 = 0 THEN CAST(0 AS DOUBLE) END WHEN doc_id % 2 = 0 THEN (doc_id % 16) / CAST(16 AS DOUBLE) END AS z FROM labels))""")
 def metric_aggregate(spark, sf_dir):
     lab = c.table(spark, sf_dir, "labels")
     matches = lab.select(F.col("doc_id").alias("gt_id"), F.when(F.col("toxic") == 1, F.lit(None)).otherwise(F.col("doc_id")).alias("pred_id"), (F.col("doc_id") % 2 == 0).alias("gt_has_cells"))
     null = F.lit(None).cast("double")
-    scores = lab.where("toxic <> 1 or toxic is null").select(F.col("doc_id").alias("gt_id"), F.col("quality").cast("double").alias("teds"), ((F.col("doc_id") % 8) / 8.0).alias("teds_s"), null.alias("grits_top"), null.alias("grits_con"), null.alias("grits_loc"))
+    scores = lab.where("toxic <> 1 or toxic is null").select(F.col("doc_id").alias("gt_id"), F.col("quality").cast("double").alias("teds"), ((F.col("doc_id") % 8) / 8.0).alias("teds_s"), null.alias("grits_top"), null.alias("grits_con"), F.when(F.col("doc_id") % 2 == 0, (F.col("doc_id") % 16) / 16.0).alias("grits_loc"))
     return metrics.metric_aggregate(metrics.metric_rows(matches, scores), ("teds", "teds_s", "grits_loc"))
 
 
-@query()
+@query(f"""WITH {c.REGIONS}, b AS (SELECT page, id, x0, y0, x1, y1 FROM v_regions), pairs AS (SELECT p.*, q.id AS other, {c.sql_inter('p', 'q')} AS inter, (greatest(p.x1, q.x1) - least(p.x0, q.x0)) * (greatest(p.y1, q.y1) - least(p.y0, q.y0)) AS around FROM b p LEFT JOIN b q ON q.id = p.id + 1)
+SELECT id, CASE WHEN other IS NOT NULL THEN inter / around END AS grits_loc FROM pairs""")
+def grits_location(spark, sf_dir):
+    """Tables of one cell with a box, each against the next region's."""
+    r = c.regions(spark, sf_dir).select("id", "box")
+    cell = lambda of: F.array(F.struct(F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(1).alias("rowspan"), F.lit(1).alias("colspan"), F.struct(*(F.col(f"{of}.{k}") for k in ("x0", "y0", "x1", "y1"))).alias("box")))
+    other = r.select((F.col("id") - 1).alias("id"), F.col("box").alias("other"))
+    pairs = r.join(other, "id", "left").select("id", cell("box").alias("gt_cells"), F.when(F.col("other").isNotNull(), cell("other")).alias("pred_cells"))
+    return metrics.grits_loc_scores(pairs).select("id", "grits_loc")
+
+
+# labels are truths: toxic ones are missed, the others matched; every seventh document has a prediction too many
+JUDGED = "judged AS (SELECT doc_id // 10 AS doc, doc_id, CASE WHEN toxic = 1 THEN 'missed' ELSE 'matched' END AS status, CASE WHEN toxic = 1 THEN 0 ELSE (doc_id % 8) / CAST(8 AS DOUBLE) END AS teds FROM labels UNION ALL SELECT doc_id // 10, doc_id, 'false_positive', NULL FROM documents WHERE doc_id % 7 = 0)"
+
+
+@query(f"""WITH {JUDGED}, own AS (SELECT doc, count(*) FILTER (WHERE status = 'matched') AS matched, count(*) FILTER (WHERE status = 'missed') AS missed, count(*) FILTER (WHERE status = 'false_positive') AS wrong, avg(teds) AS teds FROM judged GROUP BY doc)
+SELECT doc, CASE WHEN matched + missed > 0 THEN 'computed' ELSE 'not_computed' END AS status, coalesce(matched + missed, 0) AS truths, coalesce(matched, 0) AS matched, coalesce(missed, 0) AS missed, CASE WHEN matched + missed > 0 THEN wrong ELSE 0 END AS false_positives, CASE WHEN matched + missed > 0 THEN teds END AS teds
+FROM (SELECT DISTINCT doc_id // 10 AS doc FROM documents) LEFT JOIN own USING (doc)""")
+def evaluation_summary(spark, sf_dir):
+    doc = F.floor(F.col("doc_id") / 10).cast("long")
+    docs = c.table(spark, sf_dir, "documents").select(doc.alias("doc"), "doc_id")
+    lab = c.table(spark, sf_dir, "labels")
+    truths = lab.select(F.col("doc_id").alias("gt_id"), F.when((F.col("toxic") != 1) | F.col("toxic").isNull(), F.col("doc_id")).alias("pred_id"), F.lit(False).alias("gt_has_cells"))
+    matches = truths.unionByName(docs.where("doc_id % 7 = 0").select(F.lit(None).cast("long").alias("gt_id"), F.col("doc_id").alias("pred_id"), F.lit(False).alias("gt_has_cells")))
+    null = F.lit(None).cast("double")
+    scores = lab.select(F.col("doc_id").alias("gt_id"), ((F.col("doc_id") % 8) / 8.0).alias("teds"), *(null.alias(f) for f in metrics.FIELDS[1:]))
+    rows = metrics.evaluation_rows(matches, scores).withColumn("doc", F.floor(F.coalesce("gt_id", "pred_id") / 10).cast("long"))
+    return metrics.evaluation_summary(docs, rows).select("doc", "status", "truths", "matched", "missed", "false_positives", "teds")
+
+
+@query(f"""WITH {c.REGIONS}, rules AS (SELECT id, CAST(n_cells % 5 + 1 AS INT) AS h, CAST(ncols + 1 AS INT) AS v FROM v_regions)
+SELECT id, h AS horizontal_rules, v AS vertical_rules, 9 * h * v AS intersection_pixels, h >= 3 AND v >= 3 AND 9 * h * v >= 8 AS strong FROM rules""")
 def visual_grid(spark, sf_dir):
-    """Rasters painted from box coordinates: every region with an odd id gets ruled lines, the others are blank."""
+    """Rasters of 120 x 100 pixels, painted with as many rules of three pixels as a region has rows and columns of cells."""
     regions = c.regions(spark, sf_dir)
     white, black = F.lit("FF"), F.lit("00")
-    dark = F.repeat(black, 120)
-    row = F.concat(F.repeat(F.concat(F.repeat(black, 3), F.repeat(white, 36)), 3), F.repeat(black, 3))
-    ruled = F.concat(*[F.concat(F.repeat(dark, 3), F.repeat(row, 24)) for _ in range(3)], F.repeat(dark, 3))
-    blank = F.repeat(white, 120 * 84)
-    raster = regions.select("id", F.lit(120).alias("width"), F.lit(84).alias("height"), F.lit(1).alias("channels"), F.unhex(F.when(F.col("id") % 2 == 1, ruled).otherwise(blank)).alias("data"))
+    v, h = (F.col("ncols") + 1).cast("int"), (F.col("n_cells") % 5 + 1).cast("int")
+    line = F.rpad(F.repeat(F.concat(F.repeat(black, 3), F.repeat(white, 17)), v), 240, "F")
+    block = F.concat(F.repeat(black, 360), F.repeat(line, 14))
+    whole = F.concat(F.repeat(block, h), F.repeat(line, F.lit(100) - h * 17))
+    raster = regions.select("id", F.lit(120).alias("width"), F.lit(100).alias("height"), F.lit(1).alias("channels"), F.unhex(whole).alias("data"))
     return vision.visual_grid(raster, "id").select("id", "horizontal_rules", "vertical_rules", "intersection_pixels", "strong")
+
+
+# every third page is blank; the others have rules of three pixels in their left half, across every 13 pixels, down every 12
+CROPPED = """crops AS (SELECT page, id, greatest(0, CAST(floor(x0) AS INT) - 10) AS l, greatest(0, CAST(floor(y0) AS INT) - 10) AS t, least(120, CAST(floor(x1) AS INT) + 10) AS r, least(160, CAST(floor(y1) AS INT) + 10) AS b FROM v_regions),
+across AS (SELECT page, id, count(*) AS lines, count(DISTINCT y // 13) AS rules FROM crops, unnest(range(0, 160)) g(y) WHERE y >= t AND y < b AND y % 13 < 3 GROUP BY ALL),
+down AS (SELECT page, id, count(*) AS lines, count(DISTINCT x // 12) AS rules FROM crops, unnest(range(0, 60)) g(x) WHERE x >= l AND x < r AND x % 12 < 3 GROUP BY ALL),
+facts AS (SELECT c.page, c.id, l, t, r, b, page % 3 > 0 AS ruled, least(60, r) - l AS reach, b - t AS high, r - l AS wide, coalesce(a.lines, 0) AS al, coalesce(a.rules, 0) AS ar, coalesce(d.lines, 0) AS dl, coalesce(d.rules, 0) AS dr FROM crops c LEFT JOIN across a USING (page, id) LEFT JOIN down d USING (page, id)),
+seen AS (SELECT *, ruled AND reach >= greatest(12, wide // 18) AS has_across, ruled AND high >= greatest(12, high // 18) AS has_down FROM facts),
+counted AS (SELECT page, id, l, t, r, b, CAST(CASE WHEN has_across AND reach >= 0.35::DOUBLE * wide THEN ar ELSE 0 END AS INT) AS h, CAST(CASE WHEN has_down THEN dr ELSE 0 END AS INT) AS v, CAST(CASE WHEN has_across AND has_down THEN al * dl ELSE 0 END AS INT) AS x FROM seen)"""
+
+
+@query(f"WITH {c.REGIONS}, {CROPPED} SELECT page, id, l || ',' || t || ',' || r || ',' || b AS crop, h AS horizontal_rules, v AS vertical_rules, x AS intersection_pixels, h >= 3 AND v >= 3 AND x >= 8 AS strong FROM counted")
+def region_evidence(spark, sf_dir):
+    """Crop and grid evidence together: regions of pages of 120 x 160 points, one pixel a point."""
+    regions = c.regions(spark, sf_dir).select("page", "id", "box")
+    cell = "000000" + "FF" * 9
+    rows = [("00" * 60 if y % 13 < 3 else cell * 5) + "FF" * 60 for y in range(160)]
+    data = F.when(F.col("page") % 3 > 0, F.unhex(F.lit("".join(rows)))).otherwise(F.unhex(F.lit("FF" * 120 * 160)))
+    sizes = {"width": 120, "height": 160, "channels": 1, "page_width": 120.0, "page_height": 160.0}
+    rasters = regions.select("page").distinct().select("page", *(F.lit(v).alias(k) for k, v in sizes.items()), data.alias("data"))
+    found = vision.region_evidence(rasters, regions).withColumn("crop", F.concat_ws(",", "crop.left", "crop.top", "crop.right", "crop.bottom"))
+    return found.select("page", "id", "crop", "horizontal_rules", "vertical_rules", "intersection_pixels", "strong")

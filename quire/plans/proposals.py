@@ -13,7 +13,9 @@ REASON = "CASE WHEN kind = 'detection' AND NOT label IN ('table', 'table rotated
 
 @query(f"WITH {c.REGIONS} SELECT page, id, kind, reason IS NULL AS eligible, coalesce(reason, '') AS reason FROM (SELECT *, {REASON} AS reason FROM v_regions)")
 def candidate_prefilter(spark, sf_dir):
-    out = decide.prefilter(c.regions(spark, sf_dir))
+    r = c.regions(spark, sf_dir)
+    native = r.where("kind = 'native'").drop("kind", "label", "score")
+    out = decide.prefilter(decide.proposals(native, r.where("kind = 'detection'").drop("kind", "passed")))
     return out.select("page", "id", "kind", "eligible", F.coalesce("reason", F.lit("")).alias("reason"))
 
 
@@ -83,6 +85,13 @@ def structure_proposal(spark, sf_dir):
     return decide.structure_proposal(c.regions(spark, sf_dir), ["page"]).select("page", "id", "kind", F.coalesce("score", F.lit(-1.0)).alias("score"))
 
 
+@query(f"WITH {c.REGIONS} SELECT page, id, n_cells FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY u % 4 DESC, n_cells DESC, id) AS rn FROM v_regions WHERE kind = 'native') WHERE rn = 1")
+def best_structure(spark, sf_dir):
+    """Native regions stand for structures, with a confidence of few values so that cells decide."""
+    r = c.regions(spark, sf_dir).where("kind = 'native'").withColumn("confidence", (F.col("u") % 4) / 4.0)
+    return decide.best_structure(r, ["page"])
+
+
 EVIDENCE = """facts AS (SELECT page, max(score) AS max_detection, bool_or(kind = 'native' AND n_cells >= 20 AND ncols >= 5) AS native_grid, bool_or(kind = 'detection' AND ncols >= 5 AND score >= 0.75) AS partial_grid, bool_or(strong AND u % 16 = 0) AS strong, bool_or(passed AND u % 25 = 0) AS any_passed FROM v_regions GROUP BY page),
 scored AS (SELECT *, CASE WHEN coalesce(max_detection, 0) >= 0.85 THEN 2 ELSE 0 END + CASE WHEN native_grid THEN 3 ELSE 0 END + CASE WHEN partial_grid THEN 3 ELSE 0 END + CASE WHEN strong THEN 3 ELSE 0 END AS score, native_grid OR partial_grid OR strong AS structural FROM facts)"""
 
@@ -101,10 +110,13 @@ def evidence_score(spark, sf_dir):
     return f.select("page", decide.evidence(F.col("max_detection"), F.col("native_grid"), F.col("partial_grid"), F.col("any_strong")).alias("e")).select("page", "e.*")
 
 
-@query(f"""WITH {c.REGIONS}, {EVIDENCE}, asked AS (SELECT *, NOT any_passed AND strong AS ask, page % 5 = 0 AS structure_ok, structural AND score >= 4 AS sufficient, CASE WHEN page % 11 = 0 THEN 'error' WHEN page % 3 = 0 THEN 'accepted' ELSE 'failed_qc' END AS fallback FROM scored)
-SELECT page, CASE WHEN any_passed THEN 'accepted_pdfplumber' WHEN NOT strong THEN 'borderless_or_false_positive' WHEN structure_ok THEN 'accepted_tatr_repair' WHEN NOT sufficient THEN 'figure_or_false_positive' WHEN fallback = 'accepted' THEN 'accepted_mineru_fallback' ELSE 'unresolved_table' END AS decision,
+DECIDED = f"""{EVIDENCE}, asked AS (SELECT *, NOT any_passed AND strong AS ask, page % 5 = 0 AS structure_ok, structural AND score >= 4 AS sufficient, CASE WHEN page % 11 = 0 THEN 'error' WHEN page % 3 = 0 THEN 'accepted' ELSE 'failed_qc' END AS fallback FROM scored),
+decided AS (SELECT page, CASE WHEN any_passed THEN 'accepted_pdfplumber' WHEN NOT strong THEN 'borderless_or_false_positive' WHEN structure_ok THEN 'accepted_tatr_repair' WHEN NOT sufficient THEN 'figure_or_false_positive' WHEN fallback = 'accepted' THEN 'accepted_mineru_fallback' ELSE 'unresolved_table' END AS decision,
   array_to_string(list_filter([CASE WHEN any_passed THEN 'pdfplumber:accepted' ELSE 'visual-grid-candidate-gate:' || CASE WHEN strong THEN 'passed' ELSE 'rejected' END END, CASE WHEN ask THEN 'tatr-v1.1-all:' || CASE WHEN structure_ok THEN 'accepted' ELSE 'failed_qc' END END,
-  CASE WHEN ask AND NOT structure_ok THEN 'table_evidence_gate:' || CASE WHEN sufficient THEN 'passed' ELSE 'rejected' END END, CASE WHEN ask AND NOT structure_ok AND sufficient THEN 'mineru-table-region:' || fallback END], lambda x: x IS NOT NULL), ' > ') AS attempts FROM asked""")
+  CASE WHEN ask AND NOT structure_ok THEN 'table_evidence_gate:' || CASE WHEN sufficient THEN 'passed' ELSE 'rejected' END END, CASE WHEN ask AND NOT structure_ok AND sufficient THEN 'mineru-table-region:' || fallback END], lambda x: x IS NOT NULL), ' > ') AS attempts FROM asked)"""
+
+
+@query(f"WITH {c.REGIONS}, {DECIDED} SELECT page, decision, attempts FROM decided")
 def decision_cascade(spark, sf_dir):
     """Stand-ins for the models: structure succeeds on every fifth page, the fallback on every third, and fails on some."""
     structure = lambda asked: asked.select("page", (F.col("page") % 5 == 0).alias("structure_passed"), F.col("partial_grid").alias("structure_grid"))
@@ -113,6 +125,14 @@ def decision_cascade(spark, sf_dir):
     return out.select("page", "decision", F.array_join("attempts", " > ").alias("attempts"))
 
 
+@query(f"""WITH {c.REGIONS}, {DECIDED} SELECT page, 'proposal' AS stage, CAST(id AS VARCHAR) AS item, reason FROM (SELECT *, {REASON} AS reason FROM v_regions) WHERE reason IS NOT NULL
+UNION ALL SELECT page, 'candidate', 'c' || page, decision FROM decided WHERE NOT starts_with(decision, 'accepted_')""")
+def rejected_list(spark, sf_dir):
+    filtered = decide.prefilter(c.regions(spark, sf_dir))
+    decided = decision_cascade(spark, sf_dir).withColumn("candidate", F.concat(F.lit("c"), F.col("page").cast("string")))
+    return decide.rejected(filtered, decided, ["page"])
+
+
 @query(f"""WITH {c.REGIONS}, placed AS (SELECT page // 4 AS doc, page, id, ncols, y0, y1 FROM v_regions WHERE kind = 'native')
 SELECT a.doc, a.id AS first_id, b.id AS second_id FROM placed a JOIN placed b ON a.doc = b.doc AND b.page = a.page + 1 AND a.ncols = b.ncols WHERE a.y1 > 0.78::DOUBLE * 130 AND b.y0 < 0.25::DOUBLE * 130""")
 def continuation_pairs(spark, sf_dir):

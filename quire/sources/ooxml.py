@@ -271,7 +271,9 @@ def tables(raw: DataFrame) -> DataFrame:
     own = entity(raw, "table")
     keys = ["key", "table_id"]
     quality = flow.word_table_quality(cells(raw), own.select(*keys, "nrows", "ncols"), keys)
-    return own.join(quality, keys)
+    joined = flow.hmerge(entity(raw, "cell"), keys).groupBy(*keys).agg((F.sum("merged_cells") > 0).alias("joined"))
+    noted = F.when(F.col("joined"), F.array_sort(F.array_append("issues", "legacy_hmerge_normalized"))).otherwise(F.col("issues"))
+    return own.join(quality, keys).join(joined, keys, "left").withColumn("issues", noted).drop("joined")
 
 
 def fillers(raw: DataFrame) -> DataFrame:

@@ -33,6 +33,54 @@ def test_listing_and_dispatch(spark, tmp_path):
     assert manifest.inputs == 2 and manifest.bytes == 10
 
 
+def test_folders_without_documents_are_refused(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("x")
+    with pytest.raises(FileNotFoundError):
+        files.input_files(spark, str(tmp_path))
+    (tmp_path / "x.pdf").write_bytes(b"x")
+    with pytest.raises(FileNotFoundError):
+        files.input_files(spark, str(tmp_path), "word")
+
+
+def test_pages_beyond_a_document_are_refused(spark):
+    pages = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 2), ("b", 3)], "doc string, page int")
+    assert files.selected_pages(pages, ["doc"], [1, 2]).count() == 4 and files.selected_pages(pages, ["doc"], most=1).count() == 2
+    assert files.selected_pages(pages, ["doc"]).count() == 5
+    with pytest.raises(ValueError, match="beyond"):
+        files.selected_pages(pages, ["doc"], [1, 3])
+
+
+def test_documents_are_written_whole(spark, tmp_path):
+    rows = spark.createDataFrame([("a", '{"k":"ü"}', "text"), ("b/c", "[1]", None)], "doc string, json string, text string")
+    for _ in range(2):
+        assert files.write_documents(rows, f"file://{tmp_path}", "doc", {"content.json": "json", "content.md": "text"}) == 2
+    assert (tmp_path / "a" / "content.json").read_text() == '{\n  "k": "ü"\n}\n' and (tmp_path / "a" / "content.md").read_text() == "text"
+    assert sorted(p.name for p in (tmp_path / "b" / "c").iterdir()) == ["content.json"]
+    files.write_texts(spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id long, text string"), str(tmp_path / "texts"), buckets=3)
+    assert len(list((tmp_path / "texts").glob("bucket=*/*.parquet"))) == 3 and spark.read.parquet(str(tmp_path / "texts")).count() == 50
+
+
+def test_output_is_logged(tmp_path, capsys):
+    with files.Tee(str(tmp_path / "log")):
+        print("seen")
+    print("not logged")
+    assert (tmp_path / "log").read_text() == "seen\n" and capsys.readouterr().out == "seen\nnot logged\n"
+
+
+def test_batches_that_cannot_be_launched(spark):
+    own = spark.createDataFrame([("a",), ("b",)], "input string")
+    batch.launchable(own, 2)
+    batch.launchable(own, 2, own, 2)
+    for workers, previous, before in ((3, None, None), (0, None, None), (2, own, 1), (2, own.limit(1), 2), (2, spark.createDataFrame([("a",), ("c",)], "input string"), 2)):
+        with pytest.raises(ValueError):
+            batch.launchable(own, workers, previous, before)
+
+
+def test_one_range_exchange(spark):
+    plan = batch.round_robin(spark.range(100), "id", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
 def test_result_trees_are_read_once(spark, tmp_path):
     for d in ("x", "y/z"):
         (tmp_path / d).mkdir(parents=True)

@@ -4,7 +4,7 @@ from quire.functions import geometry as g
 from quire.operators import layout, textlayer
 
 WORD = "page int, word string, block int, line int, box struct<x0:double,y0:double,x1:double,y1:double>"
-WORDS = [(1, "This is enough native text for one page", 0, 0, (0.0, 0.0, 100.0, 10.0)), (1, "cell", 1, 0, (0.0, 20.0, 20.0, 30.0)), (1, "value", 1, 0, (30.0, 20.0, 50.0, 30.0))]
+WORDS = [(1, "Seven ferries cross the sound before noon on weekdays", 0, 0, (0.0, 0.0, 100.0, 10.0)), (1, "cell", 1, 0, (0.0, 20.0, 20.0, 30.0)), (1, "value", 1, 0, (30.0, 20.0, 50.0, 30.0))]
 
 
 def one(spark, column):
@@ -21,7 +21,7 @@ def test_reliable_layer_and_excluded_table(spark):
     assert q.reliable and q.words == 3
     regions = spark.createDataFrame([(1, (0.0, 15.0, 60.0, 35.0))], "page int, region struct<x0:double,y0:double,x1:double,y1:double>")
     lines = layout.text_lines(layout.words_outside(words, regions, ["page"]), ["page"], ["block", "line"]).collect()
-    assert [r.text for r in lines] == ["This is enough native text for one page"]
+    assert [r.text for r in lines] == ["Seven ferries cross the sound before noon on weekdays"]
     assert lines[0].block_id == "text-0001"
 
 
