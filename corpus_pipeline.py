@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import dart_minhash, exact_dedup, language_id, mixing, packing
-from quire.llm.common import documents, materialize
+from quire.llm.common import documents
 from quire.session import ship
+from quire.tables import materialize, release, release_since, written_tables
 
 #: no SQL can express the language model, the signatures and the tokenizer
 ORACLE_SQL = None
@@ -54,5 +55,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        mark = written_tables()
+        left = materialize(stage(spark, docs, sf_dir), name)
+        release_since(mark, left)  # what the stage wrote on its way
+        if hasattr(docs, "_quire_path"):
+            release(docs)
+        docs = left
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -89,6 +89,7 @@ def vmerge_spans(cells: DataFrame, keys: list[str]) -> DataFrame:
     An island that begins with a restart is one cell of that many rows; other continuations are orphans and
     stay cells of their own. Gives row, col, colspan, rowspan, text, orphan.
     """
+    cells = cells.repartition(*keys)  # every step below is within a table
     place = Window.partitionBy(*keys, "col", "colspan").orderBy("row")
     cont = F.col("vmerge") == "continue"
     new = F.when(cont & (F.lag("row").over(place) == F.col("row") - 1), 0).otherwise(1)

@@ -56,23 +56,35 @@ def tree_distance(a: Tree, b: Tree, structure_only: bool = False) -> float:
     """The least cost of inserting, deleting (1 each) and renaming nodes: dynamic programming over key roots."""
     na, la, ra = _postorder(a)
     nb, lb, rb = _postorder(b)
-    cost = np.array([[rename_cost(x, y, structure_only) for y in nb] for x in na])
-    dist = np.zeros((len(na), len(nb)))
+    known: dict[tuple, float] = {}
+
+    def renamed(x: Tree, y: Tree) -> float:
+        key = (x.tag, x.spans, x.text, y.tag, y.spans, y.text)
+        if key not in known:
+            known[key] = rename_cost(x, y, structure_only)
+        return known[key]
+
+    cost = [[renamed(x, y) for y in nb] for x in na]
+    dist = [[0.0] * len(nb) for _ in na]
     for i in ra:
         for j in rb:
-            m, n = i - la[i] + 2, j - lb[j] + 2
-            part = np.zeros((m, n))
-            part[:, 0], part[0, :] = np.arange(m), np.arange(n)
-            for x in range(1, m):
-                p = la[i] + x - 1
-                for y in range(1, n):
-                    q = lb[j] + y - 1
-                    edge = min(part[x - 1, y] + 1, part[x, y - 1] + 1)
-                    if la[p] == la[i] and lb[q] == lb[j]:
-                        part[x, y] = dist[p, q] = min(edge, part[x - 1, y - 1] + cost[p, q])
+            first, other = la[i], lb[j]
+            above = [float(y) for y in range(j - other + 2)]
+            part = [above]
+            for p in range(first, i + 1):
+                row = [above[0] + 1]
+                whole_a, before, own, price = la[p] == first, part[la[p] - first], dist[p], cost[p]
+                for q in range(other, j + 1):
+                    y = q - other + 1
+                    best = min(above[y], row[y - 1]) + 1
+                    if whole_a and lb[q] == other:
+                        best = own[q] = min(best, above[y - 1] + price[q])
                     else:
-                        part[x, y] = min(edge, part[la[p] - la[i], lb[q] - lb[j]] + dist[p, q])
-    return float(dist[-1, -1])
+                        best = min(best, before[lb[q] - other] + own[q])
+                    row.append(best)
+                part.append(row)
+                above = row
+    return dist[-1][-1]
 
 
 def _size(t: Tree) -> int:
@@ -85,24 +97,47 @@ def _size(t: Tree) -> int:
 
 
 def teds(truth: str, prediction: str, structure_only: bool = False) -> float:
-    a, b = tree(truth), tree(prediction)
+    return _teds(tree(truth), tree(prediction), structure_only)
+
+
+def _teds(a: Tree, b: Tree, structure_only: bool) -> float:
     return max(0.0, 1.0 - tree_distance(a, b, structure_only) / max(_size(a), _size(b)))
 
 
+SHAPES = 10_000
+
+
+def _shape(t: Tree) -> tuple:
+    """Tags, spans and nesting of a tree, as one value."""
+    nodes, left, _ = _postorder(t)
+    return tuple((n.tag, n.spans, at) for n, at in zip(nodes, left, strict=True))
+
+
+def _spread(pairs: DataFrame) -> DataFrame:
+    """Rows dealt to all tasks: they are few bytes and much work, so partitions are not to be put together by size."""
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def teds_scores(pairs: DataFrame, truth: str = "gt_html", prediction: str = "pred_html") -> DataFrame:
     """pairs with teds and teds_s; null where a side has no table."""
 
     @F.pandas_udf(T.StructType([T.StructField("teds", T.DoubleType()), T.StructField("teds_s", T.DoubleType())]))
     def score(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        out = []
+        out, shapes = [], {}  # the structural score of each pair of shapes, bounded
         for x, y in zip(a, b, strict=True):
             try:
-                out.append((teds(x or "", y or ""), teds(x or "", y or "", True)))
+                truth_tree, found_tree = tree(x or ""), tree(y or "")
+                shape = _shape(truth_tree), _shape(found_tree)
+                if shape not in shapes:
+                    if len(shapes) > SHAPES:
+                        shapes.clear()
+                    shapes[shape] = _teds(truth_tree, found_tree, True)
+                out.append((_teds(truth_tree, found_tree, False), shapes[shape]))
             except ValueError:
                 out.append((None, None))
         return pd.DataFrame(out, columns=["teds", "teds_s"])
 
-    return pairs.withColumn("s", score(truth, prediction)).select(*pairs.columns, "s.teds", "s.teds_s")
+    return _spread(pairs).withColumn("s", score(truth, prediction)).select(*pairs.columns, "s.teds", "s.teds_s")
 
 
 def _grid(found: list[tuple]) -> list[list[tuple]]:
@@ -137,20 +172,23 @@ def _common(a: str, b: str) -> float:
 
 
 def _align(n: int, m: int, reward) -> tuple[float, list[tuple[int, int]]]:
-    best = np.zeros((n + 1, m + 1))
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + reward(i - 1, j - 1))
+    gain = [[reward(i, j) for j in range(m)] for i in range(n)]
+    best = [[0.0] * (m + 1)]
+    for own in gain:
+        above, row = best[-1], [0.0]
+        for j in range(m):
+            row.append(max(above[j + 1], row[j], above[j] + own[j]))
+        best.append(row)
     pairs, i, j = [], n, m
     while i and j:
-        if best[i, j] == best[i - 1, j - 1] + reward(i - 1, j - 1):
+        if best[i][j] == best[i - 1][j - 1] + gain[i - 1][j - 1]:
             pairs.append((i - 1, j - 1))
             i, j = i - 1, j - 1
-        elif best[i, j] == best[i - 1, j]:
+        elif best[i][j] == best[i - 1][j]:
             i -= 1
         else:
             j -= 1
-    return float(best[n, m]), pairs[::-1]
+    return best[n][m], pairs[::-1]
 
 
 def _alignment(a: list[list], b: list[list], alike) -> float:
@@ -221,7 +259,7 @@ def grits_scores(pairs: DataFrame, truth: str = "gt_html", prediction: str = "pr
                 out.append((None, None))
         return pd.DataFrame(out, columns=["grits_top", "grits_con"])
 
-    return pairs.withColumn("s", score(truth, prediction)).select(*pairs.columns, "s.grits_top", "s.grits_con")
+    return _spread(pairs).withColumn("s", score(truth, prediction)).select(*pairs.columns, "s.grits_top", "s.grits_con")
 
 
 FIELDS = ("teds", "teds_s", "grits_top", "grits_con", "grits_loc")

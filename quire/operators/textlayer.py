@@ -27,21 +27,25 @@ def quality(words: Column, gate: Gate = Gate()) -> Column:
     kept = F.filter(words, lambda w: w.rlike(NOT_SPACE))
     joined = without(F.array_join(kept, ""), SPACE)
 
-    def measured(own: Column) -> Column:
-        text, n = own.text, own.n
-        visible = F.length(text)
-        below = F.greatest(visible, F.lit(1)).cast("double")
-        printable = F.length(without(text, "[\\p{C}\\p{Z}�]+")) / below
-        semantic = F.length(without(text, "[^\\p{L}\\p{N}]+")) / below
-        replacement = (visible - F.length(F.replace(text, F.lit(REPLACEMENT), F.lit("")))) / below
-        reliable = (visible >= gate.visible) & (n >= gate.words) & (printable >= gate.printable) & (semantic >= gate.semantic) & (replacement <= gate.replacement)
+    def counted(own: Column) -> Column:
+        text = own.text
         return F.struct(
-            visible.cast("long").alias("visible"), n.cast("long").alias("words"), printable.alias("printable_ratio"),
+            F.length(text).alias("visible"), own.n.alias("n"), F.length(without(text, "[\\p{C}\\p{Z}�]+")).alias("printable"),
+            F.length(without(text, "[^\\p{L}\\p{N}]+")).alias("semantic"), F.length(F.replace(text, F.lit(REPLACEMENT), F.lit(""))).alias("sound"),
+        )
+
+    def measured(n: Column) -> Column:
+        below = F.greatest(n.visible, F.lit(1)).cast("double")
+        printable, semantic, replacement = n.printable / below, n.semantic / below, (n.visible - n.sound) / below
+        reliable = (n.visible >= gate.visible) & (n.n >= gate.words) & (printable >= gate.printable) & (semantic >= gate.semantic) & (replacement <= gate.replacement)
+        return F.struct(
+            n.visible.cast("long").alias("visible"), n.n.cast("long").alias("words"), printable.alias("printable_ratio"),
             semantic.alias("semantic_ratio"), replacement.alias("replacement_ratio"), reliable.alias("reliable"),
         )
 
-    # an array of one, so that the joined text is made once and not for each measure
-    return F.transform(F.array(F.struct(joined.alias("text"), F.size(kept).alias("n"))), measured)[0]
+    # arrays of one, so that the joined text and each count of it are made once and not for each measure
+    once = F.transform(F.array(F.struct(joined.alias("text"), F.size(kept).alias("n"))), counted)
+    return F.transform(once, measured)[0]
 
 
 def route(pages: DataFrame, native: DataFrame, ocr: DataFrame, keys: list[str]) -> DataFrame:
