@@ -28,13 +28,14 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from quire.llm.common import id_and_text, per_batch
 
 MODEL, LIMIT = "piece_bpe_32k.model", 4096
 SPACE = "▁"
-CACHED, CACHED_LENGTH = 500_000, 64
+CACHED, FRESH, CACHED_LENGTH, TOGETHER = 250_000, 100_000, 64, 1 << 22
 
 
 class _Endings(dict):
@@ -62,8 +63,10 @@ class PrefixCounter:
         if max(map(len, self.score)) > 120:
             raise ValueError("a count could change by more than a byte holds")
         self.neighbours: dict[tuple[str, str], bool] = {}
+        # tables of parts: those asked for more than once, and those asked for lately in two generations
         self.known: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
+        self.fresh: dict[str, bytes] = {}
+        self.stale: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> list[str]:
         """Plain merging of a short string: best score first, leftmost among equals."""
@@ -81,65 +84,78 @@ class PrefixCounter:
 
     def _may_follow(self, left: str, right: str) -> bool:
         found = self._encode(left + right) == [left, right]
-        if len(self.neighbours) > 2 * CACHED:
+        if len(self.neighbours) > 4 * CACHED:
             self.neighbours.clear()
         self.neighbours[left, right] = found
         return found
 
-    def _changes(self, segment: str) -> bytes:
-        """By how much the count of tokens of segment[:i] changes at each i from 1; merges are possible everywhere."""
-        found = self.inner.get(segment)
-        if found is not None:
-            return found
-        score, endings, known = self.score, self.endings, self.neighbours.get
-        counts, last = [0], [None]
-        for i in range(1, len(segment) + 1):
-            here = segment[i - 1]
-            if here not in score:
-                counts.append(counts[-1] + len(here.encode("utf-8", "surrogatepass")))
-                last.append(None)
-                continue
-            for size in endings[segment[i - 2 : i] if i > 1 else here]:
-                j = i - size
-                if j >= 0 and (piece := segment[j:i]) in score:
-                    left = last[j]
-                    if left is not None:
-                        follows = known((left, piece))
-                        if follows or follows is None and self._may_follow(left, piece):
-                            break
-                    elif j == 0 or segment[j - 1] not in score:
-                        break
-            else:
-                raise AssertionError(f"no token ends at {i} of {segment!r}")
-            counts.append(counts[j] + 1)
-            last.append(piece)
-        found = bytes([(b - a) & 255 for a, b in pairwise(counts)])
-        if len(segment) <= CACHED_LENGTH:
-            if len(self.inner) >= CACHED:
-                self.inner.clear()
-            self.inner[segment] = found
-        return found
-
-    def _part(self, part: str) -> bytes:
-        """The changes in a part, put together from the segments between which no merge is possible."""
-        joined = self.joined
-        cuts = [0, *(k for k in range(1, len(part)) if part[k - 1 : k + 1] not in joined), len(part)]
-        return b"".join([self._changes(part[a:b]) for a, b in pairwise(cuts)])
+    def _changes(self, segments: set[str]) -> dict[str, bytes]:
+        """By how much the count of tokens of segment[:i] changes at each i from 1, for segments in which merges are
+        possible everywhere. They are taken in order, so that one goes on from what it has in common with the one before."""
+        score, endings, known, may_follow = self.score, self.endings, self.neighbours.get, self._may_follow
+        counts, last, changes, before, out = [0], [None], bytearray(), "", {}
+        for segment in sorted(segments):
+            n, most = 0, min(len(before), len(segment))
+            while n < most and before[n] == segment[n]:
+                n += 1
+            del counts[n + 1 :], last[n + 1 :], changes[n:]
+            for i in range(n + 1, len(segment) + 1):
+                here, piece = segment[i - 1], None
+                if here not in score:
+                    count = counts[-1] + len(here.encode("utf-8", "surrogatepass"))
+                else:
+                    for size in endings[segment[i - 2 : i] if i > 1 else here]:
+                        j = i - size
+                        if j >= 0 and (piece := segment[j:i]) in score:
+                            left = last[j]
+                            if left is not None:
+                                follows = known((left, piece))
+                                if follows or follows is None and may_follow(left, piece):
+                                    break
+                            elif j == 0 or segment[j - 1] not in score:
+                                break
+                    else:
+                        raise AssertionError(f"no token ends at {i} of {segment!r}")
+                    count = counts[j] + 1
+                changes.append((count - counts[-1]) & 255)
+                counts.append(count)
+                last.append(piece)
+            out[segment] = bytes(changes)
+            before = segment
+        return out
+
+    def _new(self, parts: set[str]) -> dict[str, bytes]:
+        """The tables of parts, put together from the segments between which no merge is possible."""
+        joined, cut = self.joined, {}
+        for part in parts:
+            at = [k for k in range(1, len(part)) if part[k - 1 : k + 1] not in joined]
+            cut[part] = [part[a:b] for a, b in pairwise([0, *at, len(part)])] if at else [part]
+        found = self._changes({x for segments in cut.values() for x in segments})
+        return {part: found[segments[0]] if len(segments) == 1 else b"".join([found[x] for x in segments]) for part, segments in cut.items()}
+
+    def tables(self, texts: list[str]) -> list[bytes]:
+        """The prefix table of each text: one signed byte a character."""
+        if len(self.known) > CACHED:
+            self.known = {}
+        if len(self.fresh) > FRESH:
+            self.stale, self.fresh = self.fresh, {}
+        known, fresh, stale = self.known, self.fresh, self.stale
+        split = [self.segments(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        unknown = set().union(*split).difference(known)
+        again = {p: some.pop(p) for some in (fresh, stale) for p in unknown & some.keys()}
+        known.update(again)
+        passing = self._new(unknown.difference(again))
+        known.update(passing)
+        # the first part begins with the space that the library puts before a text
+        rows = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        for part, found in passing.items():
+            del known[part]
+            if len(part) <= CACHED_LENGTH:
+                fresh[part] = found
+        return [bytes([(raw[0] + raw[1]) & 255]) + raw[2:] if raw else b"" for raw in rows]
 
     def table(self, text: str) -> bytes:
-        """The prefix table of a text: one signed byte a character."""
-        if not text:
-            return b""
-        parts = self.segments(SPACE + text.replace(" ", SPACE))
-        new = set(parts).difference(self.known)
-        if len(self.known) + len(new) > CACHED:
-            self.known, new = {}, set(parts)
-        known, long = self.known, {}
-        for part in new:
-            (known if len(part) <= CACHED_LENGTH else long)[part] = self._part(part)
-        raw = b"".join([known[p] if p in known else long[p] for p in parts] if long else map(known.__getitem__, parts))
-        # the first part begins with the space that the library puts before a text
-        return bytes([(raw[0] + raw[1]) & 255]) + raw[2:]
+        return self.tables([text])[0]
 
 
 def counts(table: bytes) -> np.ndarray:
@@ -174,16 +190,21 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     model_file = model_file or default_model()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = counter(model_file)
-        cols: list[list] = [[], [], [], [], []]
-        for text in batch.column("text"):
-            raw = text.as_buffer()
-            table = own.table(text.as_py())
-            n = counts(table)
-            within = len(table) if n.max() <= limit else int((n > limit).argmax()) - 1
-            for col, value in zip(cols, (0 if raw is None else len(raw), int(n[-1]), int(n[-1]) > limit, within, table), strict=True):
-                col.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "prefix_table"])
+        own, texts = counter(model_file), batch.column("text")
+        cols: list[list] = [[], [], [], []]
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < len(texts):  # texts of some megabytes together; a longer one alone
+            to = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + TOGETHER, "right")))
+            part = texts.slice(first, to - first).to_pylist()
+            first = to
+            for table in own.tables(part):
+                n = counts(table)
+                within = len(table) if n.max() <= limit else int((n > limit).argmax()) - 1
+                for col, value in zip(cols, (int(n[-1]), int(n[-1]) > limit, within, table), strict=True):
+                    col.append(value)
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.binary())
+        size = pc.binary_length(texts).cast(pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), size, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "prefix_table"])
 
     return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long, prefix_table binary")
