@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.numbers import rounded
 from quire.functions.text import REPLACEMENT, SPACE, is_blank, without
 
 FATAL = ("empty_table", "too_few_rows", "too_few_columns", "invalid_cell_index_or_span", "overlapping_cells", "nonrectangular_grid", "mostly_empty_cells", "replacement_character")
@@ -52,7 +53,7 @@ def issue(condition: Column, name: str) -> Column:
 
 
 def grid_check(cells: DataFrame, keys: list[str], tables: DataFrame | None = None) -> DataFrame:
-    """keys, nrows, ncols, n_cells, n_empty, issues (sorted).
+    """keys, nrows, ncols, n_cells, n_empty, n_boxed, issues (sorted).
 
     cells: keys, row, col, rowspan, colspan, text, has_box. tables gives keys (and declared nrows, ncols) of
     tables that may have no cells; without it the sizes are those of the cells.
@@ -60,11 +61,11 @@ def grid_check(cells: DataFrame, keys: list[str], tables: DataFrame | None = Non
     bad = invalid()
     facts = cells.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_cells"), F.sum(is_blank(F.col("text")).cast("int")).alias("n_empty"),
-        F.bool_or(bad).alias("any_invalid"), F.bool_or(~bad & ~F.col("has_box")).alias("no_geometry"),
+        F.sum(F.col("has_box").cast("int")).alias("n_boxed"), F.bool_or(bad).alias("any_invalid"), F.bool_or(~bad & ~F.col("has_box")).alias("no_geometry"),
         F.bool_or(~bad & F.col("text").contains(REPLACEMENT)).alias("replaced"),
     )
     size = dims(cells, keys) if tables is None else tables.select(*keys, "nrows", "ncols")
-    all_of = size.join(facts, keys, "left").join(occupancy(cells, keys), keys, "left").fillna(0, ["n_cells", "n_empty", "covered", "positions"]).fillna(False, ["any_invalid", "no_geometry", "replaced"])
+    all_of = size.join(facts, keys, "left").join(occupancy(cells, keys), keys, "left").fillna(0, ["n_cells", "n_empty", "n_boxed", "covered", "positions"]).fillna(False, ["any_invalid", "no_geometry", "replaced"])
     found = F.array_compact(F.array(
         issue(F.col("no_geometry"), "cell_geometry_unavailable"), issue(F.col("n_cells") == 0, "empty_table"),
         issue(F.col("any_invalid"), "invalid_cell_index_or_span"), issue(F.col("n_empty") > MOSTLY_EMPTY * F.col("n_cells"), "mostly_empty_cells"),
@@ -72,7 +73,7 @@ def grid_check(cells: DataFrame, keys: list[str], tables: DataFrame | None = Non
         issue(F.col("covered") > F.col("positions"), "overlapping_cells"), issue(F.col("replaced"), "replacement_character"),
         issue(F.col("ncols") < 2, "too_few_columns"), issue(F.col("nrows") < 2, "too_few_rows"),
     ))
-    return all_of.select(*keys, "nrows", "ncols", "n_cells", "n_empty", F.array_sort(found).alias("issues"))
+    return all_of.select(*keys, "nrows", "ncols", "n_cells", "n_empty", "n_boxed", F.array_sort(found).alias("issues"))
 
 
 def grid_fill(cells: DataFrame, keys: list[str], size: DataFrame | None = None) -> DataFrame:
@@ -128,6 +129,16 @@ def table_quality(checked: DataFrame, recall: DataFrame, keys: list[str], stage:
     return both.select(*keys, (sound & ~low & ~unsure).alias("passed"), F.array_sort(F.array_distinct(F.concat("issues", more))).alias("issues"), full.alias("nonempty_num"), F.col("n_cells").alias("nonempty_den"))
 
 
+def quality_report(checked: DataFrame, recall: DataFrame, keys: list[str], stage: str = "pdfplumber", confidence: str | None = None) -> DataFrame:
+    """table_quality for readers: stage, passed, issues and ratios of four digits; the recall is null without source text."""
+    judged = table_quality(checked, recall, keys, stage, confidence).select(*keys, "passed", "issues")
+    both = checked.drop("issues").join(judged, keys).join(recall, keys, "left")
+    share = lambda n, of: rounded(F.when(F.col(of) > 0, F.col(n) / F.col(of)).otherwise(0.0))
+    full = both.withColumn("n_full", F.col("n_cells") - F.col("n_empty"))
+    found = rounded(F.when(F.col("total") > 0, F.col("matched") / F.col("total")))
+    return full.select(*keys, F.lit(stage).alias("stage"), "passed", "issues", share("n_full", "n_cells").alias("nonempty_cell_ratio"), share("n_boxed", "n_cells").alias("cell_geometry_ratio"), found.alias("source_text_recall"))
+
+
 def signature(cells: DataFrame, keys: list[str], with_text: bool = True) -> DataFrame:
     text = without(F.coalesce("text", F.lit("")), SPACE) if with_text else F.lit("")
     rows = F.array_sort(F.collect_list(F.struct("row", "col", "rowspan", "colspan", text.alias("text"))))

@@ -215,7 +215,7 @@ def grid_similarity(truth: str, prediction: str) -> tuple[float, float]:
 
 
 def _shared(a: tuple | None, b: tuple | None) -> float:
-    """The common area of two boxes over that of the box around both, as the reference has it."""
+    """The common area of two boxes over that of the box around both."""
     if a is None or b is None:
         return 0.0
     both = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))

@@ -58,18 +58,30 @@ def text_recall(spark, sf_dir):
     return grid.text_recall(docs, docs.withColumn("doc_id", F.col("doc_id") - 1), ["doc_id"])
 
 
-@query(f"""WITH {CHECK}, words AS (SELECT o_orderkey AS table_id, unnest(string_split({NORMAL.format("o_orderstatus || ' NOFA ' || o_orderpriority")}, '')) AS ch FROM orders), want AS (SELECT table_id, ch, count(*) AS n FROM words WHERE ch <> '' GROUP BY ALL),
+QUALITY = f"""{CHECK}, words AS (SELECT o_orderkey AS table_id, unnest(string_split({NORMAL.format("o_orderstatus || ' NOFA ' || o_orderpriority")}, '')) AS ch FROM orders), want AS (SELECT table_id, ch, count(*) AS n FROM words WHERE ch <> '' GROUP BY ALL),
 have AS (SELECT table_id, ch, count(*) AS n FROM (SELECT table_id, unnest(string_split({NORMAL.format('text')}, '')) AS ch FROM v_cells) WHERE ch <> '' GROUP BY ALL),
 recall AS (SELECT w.table_id, CAST(sum(least(w.n, coalesce(h.n, 0))) AS BIGINT) AS matched, CAST(sum(w.n) AS BIGINT) AS total FROM want w LEFT JOIN have h USING (table_id, ch) GROUP BY w.table_id),
-both_of AS (SELECT k.*, coalesce(total, 0) >= 8 AND CAST(coalesce(matched, 0) AS DOUBLE) / greatest(coalesce(total, 0), 1) < 0.35 AS low FROM checked k LEFT JOIN recall USING (table_id))
-SELECT table_id, NOT list_has_any(issues, ['too_few_rows', 'too_few_columns', 'overlapping_cells', 'nonrectangular_grid', 'mostly_empty_cells']) AND CAST(n_cells - n_empty AS DOUBLE) / n_cells >= 0.28 AND NOT low AS passed,
-  array_to_string(list_sort(list_concat(issues, CASE WHEN low THEN ['low_source_text_recall'] ELSE [] END)), ',') AS issues, n_cells - n_empty AS nonempty_num, n_cells AS nonempty_den FROM both_of""")
-def table_quality(spark, sf_dir):
+both_of AS (SELECT k.*, matched, total, coalesce(total, 0) >= 8 AND CAST(coalesce(matched, 0) AS DOUBLE) / greatest(coalesce(total, 0), 1) < 0.35 AS low FROM checked k LEFT JOIN recall USING (table_id)),
+judged AS (SELECT *, NOT list_has_any(issues, ['too_few_rows', 'too_few_columns', 'overlapping_cells', 'nonrectangular_grid', 'mostly_empty_cells']) AND CAST(n_cells - n_empty AS DOUBLE) / n_cells >= 0.28 AND NOT low AS passed,
+  array_to_string(list_sort(list_concat(issues, CASE WHEN low THEN ['low_source_text_recall'] ELSE [] END)), ',') AS all_issues FROM both_of)"""
+
+
+def _checked(spark, sf_dir):
     cells = c.cells(spark, sf_dir)
     orders = c.table(spark, sf_dir, "orders")
     source = orders.select(F.col("o_orderkey").alias("table_id"), F.concat_ws(" NOFA ", "o_orderstatus", "o_orderpriority").alias("text"))
-    out = grid.table_quality(grid.grid_check(cells, KEYS), grid.text_recall(source, cells, KEYS), KEYS)
-    return out.withColumn("issues", F.array_join("issues", ","))
+    return grid.grid_check(cells, KEYS), grid.text_recall(source, cells, KEYS)
+
+
+@query(f"WITH {QUALITY} SELECT table_id, passed, all_issues AS issues, n_cells - n_empty AS nonempty_num, n_cells AS nonempty_den FROM judged")
+def table_quality(spark, sf_dir):
+    return grid.table_quality(*_checked(spark, sf_dir), KEYS).withColumn("issues", F.array_join("issues", ","))
+
+
+@query(f"""WITH {QUALITY} SELECT table_id, 'pdfplumber' AS stage, passed, all_issues AS issues, round(CAST(n_cells - n_empty AS DOUBLE) / n_cells, 4) AS nonempty_cell_ratio, round(CAST(n_boxed AS DOUBLE) / n_cells, 4) AS cell_geometry_ratio,
+  CASE WHEN total > 0 THEN round(CAST(matched AS DOUBLE) / total, 4) END AS source_text_recall FROM judged JOIN (SELECT table_id, CAST(sum(CAST(has_box AS INT)) AS BIGINT) AS n_boxed FROM v_cells GROUP BY table_id) USING (table_id)""")
+def quality_report(spark, sf_dir):
+    return grid.quality_report(*_checked(spark, sf_dir), KEYS).withColumn("issues", F.array_join("issues", ","))
 
 
 @query(f"""WITH {c.CELLS} SELECT table_id, string_agg("row" || ':' || col || ':' || rowspan || ':' || colspan || ':' || t, '|' ORDER BY "row", col, rowspan, colspan, t) AS signature FROM (SELECT *, regexp_replace(text, '\\s', '', 'g') AS t FROM v_cells) GROUP BY table_id""")

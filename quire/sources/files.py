@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import platform
 import sys
 import uuid
 from datetime import UTC, datetime
@@ -138,6 +139,11 @@ def run_id() -> str:
     return datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ")
 
 
-def run_manifest(spark: SparkSession, run: str, config: dict, inputs: DataFrame) -> DataFrame:
-    """One row: run, config as JSON, number and total size of the inputs, Spark version."""
-    return inputs.agg(F.count(F.lit(1)).alias("inputs"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(F.lit(run).alias("run_id"), F.lit(json.dumps(config, ensure_ascii=False, sort_keys=True)).alias("config"), "inputs", "bytes", F.lit(spark.version).alias("spark"))
+def run_manifest(spark: SparkSession, run: str, config: dict, inputs: DataFrame, models: dict[str, dict] | None = None) -> DataFrame:
+    """One row: run, config, models (whatever names their files, sizes and digests) and runtime as JSON, number and
+    total size of the inputs."""
+    as_json = lambda value: F.lit(json.dumps(value, ensure_ascii=False, sort_keys=True))
+    runtime = {"spark": spark.version, "python": platform.python_version(), "java": spark.sparkContext._jvm.System.getProperty("java.version"), "system": platform.platform(), "parallelism": spark.sparkContext.defaultParallelism}
+    return inputs.agg(F.count(F.lit(1)).alias("inputs"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(
+        F.lit(run).alias("run_id"), as_json(config).alias("config"), as_json(models or {}).alias("models"), as_json(runtime).alias("runtime"), "inputs", "bytes"
+    )

@@ -30,7 +30,7 @@ def test_listing_and_dispatch(spark, tmp_path):
     with pytest.raises(Exception, match="mixed folder"):
         files.input_files(spark, str(tmp_path)).collect()
     manifest = files.run_manifest(spark, files.run_id(), {"dpi": 144}, files.input_files(spark, str(tmp_path), "pdf")).first()
-    assert manifest.inputs == 2 and manifest.bytes == 10
+    assert manifest.inputs == 2 and manifest.bytes == 10 and '"dpi": 144' in manifest.config and spark.version in manifest.runtime
 
 
 def test_folders_without_documents_are_refused(spark, tmp_path):
@@ -160,6 +160,52 @@ def test_providers_fall_back_and_isolate(spark):
     assert alone == {1: ("A", None), 2: (None, "no text")}
 
 
+def test_models_behind_providers(spark):
+    """Stand-ins for a recogniser with a spare, a detector, a structure model and a model that writes HTML."""
+    from quire.operators import models
+
+    box = "struct<x0:double,y0:double,x1:double,y1:double>"
+
+    def provider(schema_, rows_of):
+        class Stub:
+            schema = schema_
+
+            def __call__(self, frame):
+                return pd.DataFrame([r for k in frame["page"] for r in rows_of(k)], columns=[c.split()[0] for c in schema_.split(", ")])
+
+        return Stub
+
+    def broken(frame):
+        raise ValueError("no device")
+
+    corner = lambda *b: dict(zip(("x0", "y0", "x1", "y1"), map(float, b), strict=True))
+    pages = spark.createDataFrame([(1,), (2,)], "page long").coalesce(1)
+    words = provider("page long, word string, confidence double", lambda k: [(k, f"w{k}", 0.9), (k, " ", 0.1)])
+    read = models.recognised_words(pages, provider("page long, word string, confidence double", broken), words).collect()
+    assert sorted((r.page, r.word) for r in read) == [(1, "w1"), (2, "w2")] and all("no device" in r.event for r in read)
+    found = models.detections(pages, provider("page long, label string, score double", lambda k: [(k, "table", 0.29), (k, "table rotated", 0.3), (k, "figure", 0.9)]))
+    assert sorted((r.page, r.label) for r in found.collect()) == [(1, "table rotated"), (2, "table rotated")]
+    objects = lambda k: [(k, "table row", 0.9, corner(0, 10 * i, 20, 10 * i + 10)) for i in range(2)] + [(k, "table column", 0.9, corner(10 * i, 0, 10 * i + 10, 20)) for i in range(k)]
+    cells = models.structures(pages, provider(f"page long, label string, score double, box {box}", objects), "page").groupBy("page").count()
+    assert {r.page: r["count"] for r in cells.collect()} == {1: 2, 2: 4}
+    html = models.tables_from_html(pages, provider("page long, html string", lambda k: [(k, "<table><tr><td>x</td></tr></table>")] if k == 1 else broken(k)), "page").collect()
+    assert {r.page: (r.text, r.error) for r in html} == {1: ("x", None), 2: (None, "no device")}
+
+
+def test_overlay_of_a_page(spark):
+    own = content.page_overlay(F.lit(200), F.lit(100), F.expr("array(named_struct('x0', 1.0D, 'y0', 2.0D, 'x1', 11.0D, 'y1', 22.0D))"), F.lit(None).cast("array<struct<x0:double,y0:double,x1:double,y1:double>>"), F.lit("a&b.png"))
+    got = spark.range(1).select(own.alias("s")).first().s
+    assert 'viewBox="0 0 200 100"' in got and '<rect class="table" x="1.0" y="2.0" width="10.0" height="20.0"/>' in got and "a&amp;b.png" in got and 'class="cell"' not in got
+
+
+def test_rounding(spark):
+    from quire.functions.numbers import rounded
+
+    values = [n / m for m in (3, 7, 32, 160, 800) for n in range(m)] + [None]
+    got = [r.y for r in spark.createDataFrame([(v,) for v in values], "x double").select(rounded(F.col("x")).alias("y")).collect()]
+    assert got == [None if v is None else round(v, 4) for v in values]
+
+
 def test_unsupported_documents_are_refused(spark):
     with pytest.raises(Exception, match="unsupported document"):
         spark.range(1).select(content.structure_of(F.lit(False), F.lit(False))).collect()
