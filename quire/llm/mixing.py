@@ -41,15 +41,19 @@ def domain_of(source: Column, domains: dict[str, str] | None = None) -> Column:
     """The domain that the mapping names for a source (MISSING if it names none). Without a mapping the test tables'
     sources are dealt to four domains by the last character of their names."""
     if domains is not None:
-        return F.coalesce(*[F.when(source == k, v) for k, v in sorted(domains.items())], F.lit(MISSING))
+        return _named(source, domains, MISSING)
     return F.concat(F.lit("domain"), F.pmod(F.ascii(F.substring(source, -1, 1)), F.lit(4)).cast("string"))
 
 
+def _named(column: Column, values: dict, default) -> Column:
+    """What a mapping holds for a name."""
+    if not values:
+        return F.lit(default)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair]), column), F.lit(default))
+
+
 def _weight(column: str, weights: dict[str, int]) -> Column:
-    out = F.lit(1)
-    for name, w in sorted(weights.items()):
-        out = F.when(F.col(column) == name, w).otherwise(out)
-    return out.cast("long")
+    return _named(F.col(column), weights, 1).cast("long")
 
 
 def _turn(epoch: Column, seed: str) -> Column:
@@ -70,19 +74,30 @@ def leaves(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def _deal(children: DataFrame, parents: list[str], key: str) -> DataFrame:
-    """children: parents, key, weight, supply, parent_budget. Adds budget."""
+    """children: parents, key, weight, supply, parent_budget. Adds budget.
+
+    What comes before and after a child is added up without its siblings meeting in one task, since a node may have
+    millions of them: children are ranged into parts by their order, parts are added up, and only the sums of parts
+    are put in a row.
+    """
     counts = F.col("weight") > 0
-    ratio = F.when(counts, F.col("supply") / F.col("weight"))
-    by = Window.partitionBy(*parents).orderBy(ratio.asc_nulls_last(), key)
-    so_far, from_here = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    above = F.col("parent_budget") - F.coalesce(F.sum("supply").over(so_far), F.lit(0))
-    reach = children.withColumn("level", F.when(counts, above / F.sum(F.greatest("weight", F.lit(0))).over(from_here))).withColumn("ok", F.col("level") * F.col("weight") <= F.col("supply"))
-    all_of = Window.partitionBy(*parents)
+    parts = int(children.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = children.withColumn("ratio", F.when(counts, F.col("supply") / F.col("weight")).otherwise(float("inf"))).withColumn("own_weight", F.greatest("weight", F.lit(0)))
+    ranged = materialize(own.repartitionByRange(parts, *parents, "ratio", key).withColumn("part", F.spark_partition_id()), "ranged")
+    sums = ranged.groupBy(*parents, "part").agg(F.sum("supply").alias("part_supply"), F.sum("own_weight").alias("part_weight"))
+    by_part = Window.partitionBy(*parents).orderBy("part")
+    before, after = by_part.rowsBetween(Window.unboundedPreceding, -1), by_part.rowsBetween(1, Window.unboundedFollowing)
+    sums = sums.select(*parents, "part", F.coalesce(F.sum("part_supply").over(before), F.lit(0)).alias("before"), F.coalesce(F.sum("part_weight").over(after), F.lit(0)).alias("after"))
+    within = Window.partitionBy(*parents, "part").orderBy("ratio", key)
+    so_far, from_here = within.rowsBetween(Window.unboundedPreceding, -1), within.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    placed = ranged.withColumn("supply_before", F.coalesce(F.sum("supply").over(so_far), F.lit(0))).withColumn("weight_from", F.sum("own_weight").over(from_here)).join(sums, [*parents, "part"])
+    level = (F.col("parent_budget") - F.col("before") - F.col("supply_before")) / (F.col("after") + F.col("weight_from"))
+    reach = placed.withColumn("level", F.when(counts, level))
     # levels grow as long as they are out of reach, so the first within reach is the least of those within reach
-    water = F.min(F.when(F.col("ok"), F.struct(ratio, F.col(key), F.col("level"))))
-    reach = reach.withColumn("water", water.over(all_of)["level"])
-    share = F.when(~counts, 0).when(F.col("water").isNull(), F.col("supply")).otherwise(F.least(F.col("supply"), F.floor(F.col("water") * F.col("weight"))))
-    return reach.withColumn("budget", share.cast("long")).drop("level", "ok", "water")
+    first = F.min(F.when(F.col("level") * F.col("weight") <= F.col("supply"), F.struct("ratio", key, "level"))).alias("water")
+    reach = reach.join(reach.groupBy(*parents).agg(first), parents)
+    share = F.when(~counts, 0).when(F.col("water").isNull(), F.col("supply")).otherwise(F.least(F.col("supply"), F.floor(F.col("water.level") * F.col("weight"))))
+    return reach.withColumn("budget", share.cast("long")).select(*children.columns, "budget")
 
 
 def budgets(own: DataFrame, weights: tuple[dict[str, int], ...] = (DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, SOURCE_WEIGHTS), percent: int = BUDGET_PERCENT, epochs: int = EPOCHS) -> DataFrame:
@@ -91,17 +106,15 @@ def budgets(own: DataFrame, weights: tuple[dict[str, int], ...] = (DOMAIN_WEIGHT
     for key, weight in zip(LEVELS, weights, strict=True):
         open_ = open_ & (_weight(key, weight) > 0)
     leaf = own.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")).withColumn("supply", F.when(open_, F.col("tokens") * epochs).otherwise(0))
-    path: list[str] = []
-    above = None
+    leaf = leaf.withColumn("root", F.lit(0))
+    path = ["root"]
+    above = leaf.groupBy(*path).agg(F.floor(F.sum("tokens") * percent / 100).cast("long").alias("parent_budget"))
     for key, weight in zip(LEVELS, weights, strict=True):
-        nodes = leaf.groupBy(*path, key).agg(F.sum("supply").alias("supply"), F.sum("tokens").alias("tokens")).withColumn("weight", _weight(key, weight))
-        if above is None:  # the few domains share what the whole corpus has
-            nodes = nodes.withColumn("parent_budget", F.floor(F.sum("tokens").over(Window.partitionBy()) * percent / 100).cast("long"))
-        else:
-            nodes = nodes.join(above, path)
-        dealt = _deal(nodes, path, key)
+        nodes = leaf.groupBy(*path, key).agg(F.sum("supply").alias("supply")).withColumn("weight", _weight(key, weight))
+        dealt = _deal(nodes.join(above, path), path, key)
         path.append(key)
         above = dealt.select(*path, F.col("budget").alias("parent_budget"))
+    leaf, above = leaf.drop("root"), above.drop("root")
     out = leaf.join(above.withColumnRenamed("parent_budget", "budget"), list(LEVELS))
     whole = F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.greatest("tokens", F.lit(1)))).otherwise(0)
     return out.select(*LEVELS, "tokens", "budget", whole.cast("long").alias("whole")).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))

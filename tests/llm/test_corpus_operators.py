@@ -365,6 +365,25 @@ def test_budgets_go_to_siblings_first(spark):
     assert got["en", "src0"] == 10 and got["fr", "src0"] == 10 and got["en", "src4"] > 200
 
 
+def test_many_siblings_in_parts(spark):
+    """Budgets of 300 sources with ties, dealt in parts, against a loop."""
+    rng = random.Random(6)
+    sizes = [rng.choice([1, 2, 2, 5, 40, 300]) for _ in range(300)]
+    df = spark.createDataFrame([(i, "w " * n, "en", f"s{i:03d}a") for i, n in enumerate(sizes)], "doc_id long, text string, lang string, source string")
+    weight = {f"s{i:03d}a": rng.choice([0, 1, 2, 7]) for i in range(300)}
+    got = {r.source: r.budget for r in mixing.budgets(mixing.leaves(df), ({}, {}, weight), percent=30, epochs=1).collect()}
+    left, open_, want = sum(sizes) * 30 // 100, [i for i in range(300) if weight[f"s{i:03d}a"]], {}
+    for i in sorted(open_, key=lambda i: (sizes[i] / weight[f"s{i:03d}a"], i)):
+        level = left / sum(weight[f"s{j:03d}a"] for j in open_ if j not in want)
+        if level * weight[f"s{i:03d}a"] <= sizes[i]:
+            break
+        want[i] = sizes[i]
+        left -= sizes[i]
+    for i in range(300):
+        w = weight[f"s{i:03d}a"]
+        assert got[f"s{i:03d}a"] == (0 if not w else want.get(i, int(level * w))), i
+
+
 def test_weight_zero_excludes(spark):
     """What is excluded gets nothing, at any level, and its share goes to its siblings."""
     rows = [(i, "w " * 100, lang, source) for i, (lang, source) in enumerate([("en", "src0"), ("en", "src4"), ("fr", "src0"), ("de", "src1")])]
@@ -421,6 +440,26 @@ def test_pipeline(spark, data):
     assert {r.doc_id for r in packed} == mixed
 
 
+def test_stages_of_an_awkward_table(spark, data):
+    """Nulls in every column, empty and very long texts, repeated rows, and columns that clash with the stages' own."""
+    import corpus_pipeline
+
+    rows = [(*r, "en" if r[0] is None or r[0] % 3 else None, None if r[0] == 5 else "src1", None, 1, "x", 2, None) for r in awkward()]
+    own = spark.createDataFrame(rows, DOCS)
+    ids = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, own, data)
+        assert out.columns == own.columns
+        got = out.collect()
+        own = spark.createDataFrame(got, own.schema) if got else own.limit(0)
+        ids[name] = Counter(r.doc_id for r in got)
+    assert not {1, 2, 3, 6} & set(ids["language_id"]) and ids["language_id"][8] == 2 and ids["language_id"][None] == 2
+    assert ids["exact_dedup"][8] == 2 and 7 not in ids["exact_dedup"] and 4 not in ids["exact_dedup"]
+    assert ids["near_dedup"][8] == 2 and 9 not in ids["near_dedup"] and ids["near_dedup"][None] == ids["exact_dedup"][None]
+    packed = corpus_pipeline.STAGES[-1][1](spark, own, data).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == ids["mixing"]
+
+
 def test_pipeline_of_an_empty_table(spark, data):
     import corpus_pipeline
 
