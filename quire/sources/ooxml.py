@@ -160,7 +160,7 @@ class Package:
                 text += [" ".join(f"[嵌套表格 {n}]" for n in nested)] if nested else []
                 pending.append({"table_id": name, "row": r, "cell": c, "before": before, "colspan": span, **merges, "text": "\n".join(text), "header": head is not None and (_attr(head, "val") or "").lower() not in ("0", "false", "off", "none"), "nested": nested})
             columns = max(columns, width)
-        self.add("table", table_id=name, parent=parent, part=part, nrows=len(rows), ncols=columns)
+        self.add("table", table_id=name, parent=parent, part=part, nrows=len(rows), ncols=columns, xml=ElementTree.tostring(node, encoding="unicode"))
         for cell in pending:
             self.add("cell", **cell)
         return name
@@ -223,7 +223,7 @@ def read_package(content: bytes) -> list[tuple[str, dict]]:
 RUNS = "array<struct<text:string,bold:string,italic:string,underline:string,vertical_align:string,hyperlink:string>>"
 SCHEMAS = {
     "block": f"ord int, part string, area string, table_id string, text string, style_id string, outline string, num_id string, ilvl string, runs {RUNS}, page_breaks int, ends_section boolean",
-    "table": "table_id string, parent string, part string, nrows int, ncols int",
+    "table": "table_id string, parent string, part string, nrows int, ncols int, xml string",
     "cell": "table_id string, row int, cell int, before int, colspan int, vmerge string, hmerge string, text string, header boolean, nested array<string>",
     "style": "style_id string, name string, based_on string, outline int",
     "num": "num_id string, abstract_id string",
@@ -257,17 +257,19 @@ def entity(raw: DataFrame, kind: str) -> DataFrame:
 
 
 def cells(raw: DataFrame) -> DataFrame:
-    """key, table_id, row, col, rowspan, colspan, text, header, orphan: merged, without fillers."""
+    """key, table_id, row, col, rowspan, colspan, text, header, orphan, nested (ids of the tables in the cell that a merged
+    one begins with): merged, without fillers."""
     own = entity(raw, "cell")
     keys = ["key", "table_id"]
-    wide = flow.hmerge(own, keys).join(own.select(*keys, "row", "cell", "before"), [*keys, "row", "cell"])
+    wide = flow.hmerge(own, keys).join(own.select(*keys, "row", "cell", "before", "nested"), [*keys, "row", "cell"])
     placed = grid.running_columns(wide, keys, "before")
     heads = own.groupBy(*keys, "row").agg(F.bool_or("header").alias("header"))
-    return flow.vmerge_spans(placed, keys).join(heads, [*keys, "row"])
+    links = placed.select(*keys, "row", "col", "nested").where(F.size("nested") > 0)
+    return flow.vmerge_spans(placed, keys).join(heads, [*keys, "row"]).join(links, [*keys, "row", "col"], "left")
 
 
 def tables(raw: DataFrame) -> DataFrame:
-    """key, table_id, parent, nrows, ncols, passed, issues, nonempty_num, nonempty_den."""
+    """key, table_id, parent, part, nrows, ncols, xml (as in the package), passed, issues, nonempty_num, nonempty_den."""
     own = entity(raw, "table")
     keys = ["key", "table_id"]
     quality = flow.word_table_quality(cells(raw), own.select(*keys, "nrows", "ncols"), keys)
@@ -310,3 +312,23 @@ def status(raw: DataFrame) -> DataFrame:
     n = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "\\s", ""))
     state = F.when(F.col("message").isNotNull(), "failed").when(F.coalesce("failed_tables", F.lit(0)) > 0, "partial").otherwise("ok")
     return every.select("key", state.alias("status"), F.coalesce("tables", F.lit(0)).alias("tables"), F.coalesce("failed_tables", F.lit(0)).alias("failed_tables"), n.alias("native_characters"), F.coalesce(flow.image_only(F.col("text"), F.col("drawings")), F.lit(False)).alias("image_only"))
+
+
+def stored_documents(raw: DataFrame) -> DataFrame:
+    """key, status, json: one result a package, as the export command reads it. Packages that cannot be read have no json."""
+    block = F.struct("type", "text", F.col("ord").alias("order"), "section", "heading_level", "table_id", F.struct(F.col("list_level").alias("level"), F.col("list_format").alias("format")).alias("list"), "runs").alias("block")
+    placed = blocks(raw).select("key", "area", "part", "ord", block)
+    listed = placed.groupBy("key", "area", "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "block"))), lambda x: x.block).alias("blocks"))
+    parts = lambda area: F.transform(F.array_sort(F.collect_list(F.when(F.col("area") == area, F.struct("part", "blocks")))), lambda x: F.struct(x.blocks.alias("blocks"))).alias(area)
+    flows = listed.groupBy("key").agg(F.first(F.when(F.col("area") == "body", F.col("blocks")), ignorenulls=True).alias("blocks"), *[parts(a) for a in SIDE_PARTS])
+    filled = cells(raw).groupBy("key", "table_id").agg(F.array_sort(F.collect_list(F.struct("row", "col", "rowspan", "colspan", "text", "header", F.col("nested").alias("nested_tables")))).alias("cells"))
+    table = F.struct(F.col("table_id").alias("id"), F.col("parent").alias("parent_table"), "nrows", "ncols", F.struct("passed", "issues").alias("quality"), "cells")
+    found = tables(raw).join(filled, ["key", "table_id"], "left").groupBy("key").agg(F.array_sort(F.collect_list(table)).alias("tables"))
+    named = entity(raw, "metadata").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("name", "value"))).alias("metadata"))
+    every = status(raw).select("key", "status").join(flows, "key", "left").join(found, "key", "left").join(named, "key", "left")
+    none = lambda name, like: F.coalesce(F.col(name), F.array().cast(like)).alias(name)
+    whole = F.struct(
+        F.lit("1.0").alias("schema_version"), F.lit("docx").alias("source_format"), "status", "metadata",
+        none("blocks", flows.schema["blocks"].dataType), none("tables", found.schema["tables"].dataType), F.struct(*SIDE_PARTS).alias("ancillary"),
+    )
+    return every.select("key", "status", F.when(F.col("status") != "failed", F.to_json(whole)).alias("json"))

@@ -133,6 +133,29 @@ def test_content_of_a_document(spark):
     assert page.startswith("<!doctype html>") and content.UNTITLED in page
 
 
+def test_from_packages_to_content_files(spark, tmp_path):
+    """A package becomes a stored result, and the export command writes its content."""
+    from quire import export
+    from quire.sources import files
+
+    core = '<cp:coreProperties xmlns:cp="x" xmlns:dc="y"><dc:title>Yearbook</dc:title></cp:coreProperties>'
+    inner = f"<w:tbl><w:tr>{tc('deep')}</w:tr></w:tbl>"
+    nested = f"<w:tbl><w:tr><w:tc>{p('outer')}{inner}<w:p/></w:tc></w:tr></w:tbl>"
+    good = package(BODY + nested, word__header1=f"<w:hdr {NS}>{p('running head')}</w:hdr>", docProps__core=core)
+    own = raw(spark, good, b"no zip")
+    stored = ooxml.stored_documents(own).withColumn("folder", F.concat(F.lit("d"), "key"))
+    assert {r.key: (r.status, r.json is None) for r in stored.collect()} == {"0": ("ok", False), "1": ("failed", True)}
+    assert files.write_documents(stored, f"file://{tmp_path}", "folder", {"document.json": "json"}) == 2
+    xml = ooxml.tables(own).select("table_id", "xml", F.concat(F.lit("d0/"), "table_id").alias("folder"))
+    files.write_documents(xml, f"file://{tmp_path}", "folder", {"table.xml": "xml"})
+    assert "Westhaven" in (tmp_path / "d0" / "table-0001" / "table.xml").read_text()
+    assert export.export(spark, str(tmp_path)) == 1
+    html, markdown = ((tmp_path / "d0" / f"content.{x}").read_text() for x in ("html", "md"))
+    assert "<title>Yearbook</title>" in html and "<h1><strong>Trade of the year</strong></h1>" in html
+    assert '<td data-row="1" data-col="0" rowspan="2">Westhaven</td>' in html and "outer<table>" in html and "[嵌套表格" not in html
+    assert markdown.endswith("<!-- header -->\n\n**running head**\n")
+
+
 def test_markdown_escape(spark):
     from quire.functions.text import markdown_escape
 
