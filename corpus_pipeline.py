@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the
-next stage's docs. All but the last return the columns of documents.
+next stage's docs. All but the last return the columns of documents. The stages are those of quire.llm; without that
+subpackage this module cannot be imported, and the entry point leaves its query out.
 """
 
 from __future__ import annotations
