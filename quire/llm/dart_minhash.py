@@ -50,8 +50,8 @@ SIGNATURE = BANDS * ROWS
 SALT = 256
 #: distances to a hub are told apart in this many steps
 STEPS = 50
-#: most texts and units of weight in a block, and most entries of a matrix part
-BLOCK_TEXTS, BLOCK_UNITS, ENTRIES = 1024, 400_000, 4_000_000
+#: fewest and most texts that a block is made for, most units of weight in it, and most entries of a matrix part
+LEAST_TEXTS, MOST_TEXTS, BLOCK_UNITS, ENTRIES = 256, 2048, 400_000, 4_000_000
 MASK = (1 << 64) - 1
 
 
@@ -241,8 +241,11 @@ def open_members(shared: DataFrame, labels: DataFrame, compared: DataFrame, thre
 
 def settle_open_buckets(shared: DataFrame, labels: DataFrame, compared: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between components that share a bucket. shared: band, hub, node, weight."""
-    left = open_members(shared, labels, compared, threshold)
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("units") / BLOCK_UNITS)).cast("int")
+    left = materialize(open_members(shared, labels, compared, threshold), "open-members")
+    # a task compares two blocks, so a block is half of what a task would have if all members were dealt evenly
+    share = left.count() // (2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    texts = min(MOST_TEXTS, max(LEAST_TEXTS, share))
+    blocks = F.ceil(F.greatest(F.col("n") / texts, F.col("units") / BLOCK_UNITS)).cast("int")
     left = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", "band"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = left.select("band", "node", "comp", "block", other).select("band", "node", "comp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
