@@ -51,7 +51,7 @@ SALT = 256
 #: distances to a hub are told apart in this many steps
 STEPS = 50
 #: fewest and most texts that a block is made for, most units of weight in it, and most entries of a matrix part
-LEAST_TEXTS, MOST_TEXTS, BLOCK_UNITS, ENTRIES = 256, 2048, 400_000, 4_000_000
+LEAST_TEXTS, MOST_TEXTS, BLOCK_UNITS, ENTRIES = 256, 1024, 400_000, 4_000_000
 MASK = (1 << 64) - 1
 
 
