@@ -1,8 +1,6 @@
-"""What the operators of this subpackage share: durable intermediate tables, Arrow batches, linked components.
+"""What the operators of this subpackage share: inputs, Arrow batches, linked components.
 
-Intermediate results are written as Parquet under the folder that the cluster names in
-``spark.checkpoint.dir`` and read again. A lost executor then costs only the tasks it ran, and lineage ends
-at a table that every executor can read.
+Intermediate results are written and read again (quire.tables), so a lost executor costs only the tasks it ran.
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.tables import materialize, release
 
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
