@@ -3,7 +3,7 @@ writes content.json, content.html and content.md beside it, with source content
 
 from __future__ import annotations
 
-import argparse
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,14 +106,15 @@ def export(spark: SparkSession, where: str) -> int:
     return files.write_documents(made, "", "folder", {"content.json": "json", "content.html": "html", "content.md": "markdown"})
 
 
-def main(argv: list[str] | None = None) -> int:
-    arguments = argparse.ArgumentParser(description="Write content.json, content.html and content.md beside stored results")
-    arguments.add_argument("folder")
+def main(arguments: list[str]) -> int:
+    if len(arguments) != 1:
+        print("usage: python -m quire.export FOLDER", file=sys.stderr)
+        return 2
     spark = session("quire-export")
     ship(spark)
-    print(f"exported {export(spark, arguments.parse_args(argv).folder)} documents")
+    print(f"exported {export(spark, arguments[0])} documents")
     return 0
 
 
 if __name__ == "__main__":
-    raise SystemExit(main())
+    raise SystemExit(main(sys.argv[1:]))

@@ -7,10 +7,11 @@ span costs no more than a narrow one. What cannot be read gives a row with an er
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,16 +162,22 @@ def html_table_cells(tables: DataFrame, key: str, source: str = "html") -> DataF
     """key, row, col, rowspan, colspan, text, header, error; a table that cannot be read gives one row with error."""
     own = tables.select(F.col(key).alias("key"), F.col(source).alias("html"))
     kind = own.schema["key"].dataType.simpleString()
-
-    def run(frames):
-        for pdf in frames:
-            out = []
-            for key_, html in zip(pdf["key"], pdf["html"], strict=True):
+    names = ["row", "col", "rowspan", "colspan", "text", "header", "error"]
+    kinds = [*[pa.int32()] * 4, pa.string(), pa.bool_(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at: list[int] = []
+            out: list[tuple] = []
+            for i, html in enumerate(batch.column("html").to_pylist()):
                 try:
-                    out += [(key_, *c, None) for c in cells(html or "")]
+                    found = [(*c, None) for c in cells(html or "")]
                 except ValueError as problem:
-                    out.append((key_, None, None, None, None, None, None, str(problem)))
-            yield pd.DataFrame(out, columns=["key", "row", "col", "rowspan", "colspan", "text", "header", "error"]).astype({c: "Int32" for c in ("row", "col", "rowspan", "colspan")})
+                    found = [(*[None] * 6, str(problem))]
+                out += found
+                at += [i] * len(found)
+            columns = zip(*out, strict=True) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int32())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["key", *names])
 
-    found = own.mapInPandas(run, f"key {kind}, row int, col int, rowspan int, colspan int, text string, header boolean, error string")
+    found = own.mapInArrow(run, f"key {kind}, row int, col int, rowspan int, colspan int, text string, header boolean, error string")
     return found.withColumnRenamed("key", key)

@@ -22,7 +22,7 @@ def cell(row, col, text, **more):
 PAGED = {
     "schema_version": "1.0", "input": "/secret/place.pdf", "errors": [], "metadata": {"title": " Ferry <times> "},
     "pages": [
-        {"page": 1, "blocks": [block("text", "below", bbox=[5, 300, 80, 310], source="x"), block("text", "above\nall", bbox=[5, 20, 80, 30])], "tables": [{"id": "t", "bbox": [5, 100, 200, 200], "nrows": 1, "ncols": 2, "parser": "p", "cells": [cell(0, 0, "pier"), cell(0, 1, "a & b")]}]},
+        {"page": 1, "blocks": [block("text", "below", bbox=[5, 300, 80, 310], source="x"), block("text", "above\nall", bbox=[5, 20, 80, 30])], "tables": [{"id": "t", "bbox": [5, 100, 200, 200], "nrows": 1, "ncols": 2, "engine": "p", "cells": [cell(0, 0, "pier"), cell(0, 1, "a & b")]}]},
         {"page": 2, "blocks": [], "tables": []}, {"page": 3, "blocks": [block("text", "last")], "tables": []},
     ],
 }
@@ -55,7 +55,7 @@ def test_pages_in_reading_order(exported):
     assert [(u["number"], len(u["content"])) for u in own["content"]] == [(1, 3), (2, 0), (3, 1)] and own["structure"] == "pages" and own["title"] == "Ferry <times>"
     assert [i["type"] for i in own["content"][0]["content"]] == ["text", "table", "text"]
     assert own["content"][0]["content"][1]["cells"][1]["text"] == "a & b"
-    assert not any(word in exported["ferry"]["json"] for word in ("secret", "bbox", "parser", "source\"", "errors"))
+    assert not any(word in exported["ferry"]["json"] for word in ("secret", "bbox", "engine", "source\"", "errors"))
     html = exported["ferry"]["html"]
     assert "<title>Ferry &lt;times&gt;</title>" in html and html.index("above<br>") < html.index("a &amp; b") < html.index("below")
     assert exported["ferry"]["md"].startswith("<!-- page: 1 -->\n\nabove\nall\n\n<table>")
