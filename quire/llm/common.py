@@ -5,6 +5,7 @@ Intermediate results are written and read again (quire.tables), so a lost execut
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,12 +34,39 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def holds_cache(owner: str, clear: Callable[[], None]) -> None:
+    """Note how to empty what an operator keeps in a Python worker between its tasks."""
+    _caches[owner] = clear
+
+
+def free_caches(owner: str = "") -> None:
+    """Workers go on to tasks of other operators: what any but the owner keeps goes before they begin."""
+    for name, clear in _caches.items():
+        if name != owner:
+            clear()
+
+
+def trim() -> None:
+    """Give memory that is free back to the system; the worker stays for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library has no such call
+        return
+
+
+def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, owner: str = "") -> DataFrame:
+    """fn of every batch; owner: whose caches the tasks use."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches(owner)
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
-        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
+        trim()
 
     return df.mapInArrow(run, schema)
 

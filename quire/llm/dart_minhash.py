@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import components, free_name, id_and_text, join_components, materialize, per_batch, utf8_slices
+from quire.llm.common import components, free_caches, free_name, id_and_text, join_components, materialize, per_batch, trim, utf8_slices
 from quire.llm.textkit import U, mix, occurrence, shingles
 
 WORDS, THRESHOLD = 5, 0.8
@@ -117,13 +117,12 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, ["doc_id", "weight", "print_a", "print_b", "bands"])
 
 
-def text_units(texts: pa.Array) -> list[np.ndarray]:
-    """The sorted units of each text."""
-    out: list[np.ndarray] = []
-    for _, offsets, data in utf8_slices(pc.utf8_lower(texts), 1 << 20):
-        doc, key = units(data, offsets)
-        out += [np.sort(x) for x in np.split(key, np.searchsorted(doc, np.arange(1, len(offsets) - 1)))]
-    return out
+def text_units(texts: pa.Array, step: int = 256) -> Iterator[np.ndarray]:
+    """The sorted units of each text; some texts at a time are lower-cased and cut into shingles together."""
+    for first in range(0, len(texts), step):
+        for _, offsets, data in utf8_slices(pc.utf8_lower(texts.slice(first, step)), 1 << 20):
+            doc, key = units(data, offsets)
+            yield from (np.sort(x) for x in np.split(key, np.searchsorted(doc, np.arange(1, len(offsets) - 1))))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -135,6 +134,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (hub, salt, role): each hub's text precedes its members'."""
+    free_caches()
     hub, own = None, np.zeros(0, U)
     for batch in batches:
         a, b, s = [], [], []
@@ -146,6 +146,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 b.append(node)
                 s.append(similarity(own, mine))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], ["hub", "node", "similarity"])
+    trim()
 
 
 def compare_with_hubs(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
@@ -199,6 +200,7 @@ def _settle(threshold: float):
                 yield rows[i][0], rows[j][0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches()
         group, rows = None, []
         for batch in batches:
             found = []
@@ -211,6 +213,7 @@ def _settle(threshold: float):
             yield _pairs(found)
         if group:
             yield _pairs(list(links(rows)))
+        trim()
 
     return run
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import free_name, per_batch, utf8_slices
+from quire.llm.common import free_caches, free_name, per_batch, trim, utf8_slices
 from quire.llm.textkit import U, mix
 
 DIMENSIONS, CLUSTERS, SAMPLE, ROUNDS, MARGIN = 4096, 4, 1000, 12, 0.5
@@ -170,6 +170,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", prefix: str
     at = docs.columns.index(text_col)
 
     def run(batches):
+        free_caches()
         own = shared.value
         for batch in batches:
             texts = batch.column(at).cast(pa.string())
@@ -182,6 +183,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", prefix: str
             score = np.where(letters, score, 0.0)
             far = ~letters | (score < own.floor[_length_class(texts)])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(far, pa.bool_())], [*batch.schema.names, *names])
+        trim()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(run, f"{fields}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` boolean")

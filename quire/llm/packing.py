@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import id_and_text, materialize, per_batch
+from quire.llm.common import holds_cache, id_and_text, materialize, per_batch
 
 TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, (0).to_bytes(4, "little")
 CACHED, FRESH, CACHED_LENGTH = 300_000, 100_000, 48
@@ -152,6 +152,9 @@ def encoder(file: str) -> ChunkEncoder:
     return ChunkEncoder(file)
 
 
+holds_cache("packing", encoder.cache_clear)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -176,7 +179,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, piece int, start long, length long, ids_crc32 long", "packing")
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int, int]], int]:

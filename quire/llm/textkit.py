@@ -26,7 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the radix and of its inverse modulo 2^64, for n positions."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 16)
+        size = max(n, 1 << 16)  # of the longest slice so far; a slice is some megabytes, or one longer text
         for key, base in (("up", _RADIX), ("down", pow(_RADIX, -1, 1 << 64))):
             p = np.full(size, base, U)
             p[0] = 1

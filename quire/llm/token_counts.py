@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from quire.llm.common import id_and_text, per_batch
+from quire.llm.common import holds_cache, id_and_text, per_batch
 
 MODEL, LIMIT = "piece_bpe_32k.model", 4096
 SPACE = "▁"
@@ -176,6 +176,9 @@ def counter(model_file: str) -> PrefixCounter:
     return PrefixCounter(model_file)
 
 
+holds_cache("tokens", counter.cache_clear)
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -207,4 +210,4 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         size = pc.binary_length(texts).cast(pa.int64())
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), size, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "prefix_table"])
 
-    return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long, prefix_table binary")
+    return per_batch(id_and_text(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long, prefix_table binary", "tokens")
