@@ -100,8 +100,8 @@ def export(spark: SparkSession, where: str) -> int:
     docs = files.result_documents(spark, where, DOCUMENT)
     if docs.select("path").isEmpty():
         raise FileNotFoundError(f"no document.json found under {where}")
-    # a document with neither pages nor blocks is refused
-    docs = docs.where(content.structure_of(F.col("pages").isNotNull(), F.col("blocks").isNotNull()).isNotNull())
+    if other := docs.where("pages is null and blocks is null").select("path").first():
+        raise ValueError(f"unsupported document: expected pages or blocks in {other['path']}")
     made = paged(docs).unionByName(sectioned(docs)).withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
     return files.write_documents(made, "", "folder", {"content.json": "json", "content.html": "html", "content.md": "markdown"})
 
