@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import holds_cache, id_and_text, materialize, per_batch
 
 TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, (0).to_bytes(4, "little")
-CACHED, FRESH, CACHED_LENGTH = 300_000, 100_000, 48
+CACHED, FRESH, CACHED_LENGTH = 500_000, 150_000, 48
 #: words of Latin-1 letters and a run of other signs, which the tokenizer always separates from each other; not
 #: the apostrophe, which may begin a token with the letters after it, and the signs of special tokens
 SEPARABLE = re.compile(r'([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*+/=@^~()\[\]{}_"-]*)').fullmatch
