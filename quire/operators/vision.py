@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,38 +108,60 @@ def visual_grid(rasters: DataFrame, key: str) -> DataFrame:
     return own.mapInPandas(run, f"key {kind}, {KINDS}").withColumnRenamed("key", key)
 
 
+BOX, CORNERS = ("x0", "y0", "x1", "y1"), ("left", "top", "right", "bottom")
+RASTER = ("width", "height", "channels", "data", "page_width", "page_height")
+NONE = (0, 0, 0, False)
+
+
+def _crop(place: tuple, width: int, height: int, page_width: float, page_height: float, padding: int) -> tuple[int, int, int, int]:
+    x0, y0, x1, y1 = place
+    sx, sy = width / page_width, height / page_height
+    left, top = max(0, int(x0 * sx) - padding), max(0, int(y0 * sy) - padding)
+    return left, top, min(width, int(x1 * sx) + padding), min(height, int(y1 * sy) + padding)
+
+
 def region_evidence(rasters: DataFrame, regions: DataFrame, page: str = "page", padding: int = PADDING) -> DataFrame:
     """The evidence of each region, measured in its crop of the page's raster.
 
     rasters: page, width, height, channels, data, page_width, page_height (in points); regions: page, id, box (in
     points). The crop is the box in pixels, widened by ``padding`` and kept within the raster; an empty one is not
     strong. A page's raster is read once for all its regions. Gives page, id, crop (left, top, right, bottom) and the
-    evidence; regions of pages without a raster have an error.
-    """
-    of_page = regions.groupBy(F.col(page).cast("long").alias("page")).agg(F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "box.x0", "box.y0", "box.x1", "box.y1")).alias("boxes"))
-    both = of_page.join(rasters.withColumn("page", F.col(page).cast("long")), "page", "left").select("page", "boxes", "width", "height", "channels", "data", "page_width", "page_height")
+    evidence; regions of pages without a raster, and those without a box, have an error.
 
-    def run(frames):
-        for pdf in frames:
-            out = []
-            for r in pdf.itertuples(index=False):
+    Rasters are large once they are made, and small as Spark counts them: pages meet their regions one page at a time,
+    so that no raster is broadcast and no batch holds many, in as many tasks as there are shuffle partitions.
+    """
+    parts = int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = regions.select(F.col(page).cast("long").alias("page"), F.col("id").cast("long").alias("id"), *(F.col(f"box.{k}").cast("double").alias(k) for k in BOX)).repartition(parts, "page")
+    drawn = rasters.where(F.col(page).isNotNull()).select(F.col(page).cast("long").alias("page"), *RASTER)
+
+    def run(boxes: pa.Table, drawings: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        at, ids = boxes.column("page").to_pylist(), boxes.column("id").to_pylist()
+        places = list(zip(*(boxes.column(k).to_pylist() for k in BOX), strict=True))
+        for n in range(max(1, drawings.num_rows)) if at else ():
+            try:
+                width, height, channels, data, *points = (drawings.column(k)[n].as_py() for k in RASTER) if drawings.num_rows else (None,) * len(RASTER)
+                gray, problem = _gray(data, width, height, channels), None
+            except (ValueError, TypeError) as broken:
+                gray, problem = None, str(broken) if drawings.num_rows else "no raster of the page"
+            for key, i, place in zip(at, ids, places, strict=True):
+                if gray is None:
+                    out.append((key, i, *[None] * 4, *NONE, problem))
+                    continue
                 try:
-                    gray, problem = _gray(r.data, int(r.width), int(r.height), int(r.channels)), None
-                except (ValueError, TypeError) as broken:
-                    gray, problem = None, str(broken)
-                for b in r.boxes:
-                    if gray is None:
-                        out.append((r.page, b["id"], None, None, None, None, 0, 0, 0, False, problem))
-                        continue
-                    sx, sy = r.width / r.page_width, r.height / r.page_height
-                    left, top = max(0, int(b["x0"] * sx) - padding), max(0, int(b["y0"] * sy) - padding)
-                    right, bottom = min(int(r.width), int(b["x1"] * sx) + padding), min(int(r.height), int(b["y1"] * sy) + padding)
-                    empty = right <= left or bottom <= top
-                    found = (0, 0, 0, False, "empty proposal crop") if empty else (*grid_evidence(gray[top:bottom, left:right]), None)
-                    out.append((r.page, b["id"], left, top, right, bottom, *found))
-            corners = ["left", "top", "right", "bottom"]
-            yield pd.DataFrame(out, columns=["page", "id", *corners, *EVIDENCE]).astype({c: "Int32" for c in corners})
-
-    found = both.mapInPandas(run, f"page long, id long, left int, top int, right int, bottom int, {KINDS}")
-    crop = F.when(F.col("left").isNotNull(), F.struct("left", "top", "right", "bottom"))
-    return found.withColumn("crop", crop).drop("left", "top", "right", "bottom").withColumnRenamed("page", page)
+                    crop = _crop(place, width, height, *points, padding)
+                except (ValueError, TypeError, ArithmeticError) as broken:
+                    out.append((key, i, *[None] * 4, *NONE, str(broken)))
+                    continue
+                left, top, right, bottom = crop
+                empty = right <= left or bottom <= top
+                found = (*NONE, "empty proposal crop") if empty else (*grid_evidence(gray[top:bottom, left:right]), None)
+                out.append((key, i, *crop, *found))
+        columns = zip(*out, strict=True) if out else [()] * len(kinds)
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+    kinds = {"page": pa.int64(), "id": pa.int64(), **dict.fromkeys(CORNERS, pa.int32()), **dict(zip(EVIDENCE, [*[pa.int32()] * 3, pa.bool_(), pa.string()], strict=True))}
+    found = own.groupBy("page").cogroup(drawn.groupBy("page")).applyInArrow(run, f"page long, id long, {', '.join(f'{c} int' for c in CORNERS)}, {KINDS}")
+    crop = F.when(F.col("left").isNotNull(), F.struct(*CORNERS))
+    return found.withColumn("crop", crop).drop(*CORNERS).withColumnRenamed("page", page)
