@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -104,13 +107,193 @@ def _teds(a: Tree, b: Tree, structure_only: bool) -> float:
     return max(0.0, 1.0 - tree_distance(a, b, structure_only) / max(_size(a), _size(b)))
 
 
-SHAPES = 10_000
+MOST_TREES, MOST_ROWS, LONGEST_ROW, MOST_RENAMED, MOST_CELLS = 1024, 10_000, 2000, 200_000, 2_000_000
+_ROW = re.compile(r'<tr>(?:<(td|th)(?: rowspan="[0-9]+" colspan="[0-9]+")?>[^<]*</\1>)*')
+
+
+class _Scores:
+    """Tree-edit similarities of many pairs of tables, those of like shape at once.
 
+    Equal subtrees get one number, and the distance of two subtrees is worked out once for all pairs that hold them.
+    Both roots are tables, which costs nothing to rename, so some best edit maps root to root: an edit that maps one of
+    them elsewhere, or neither, costs no more with the two mapped to each other instead. What is left is the distance of
+    the forests below. Its recurrence needs the distances of subtrees only; pairs of forests of like shape take the same
+    steps, so each step is taken for all of them as one array. What is known is dropped when it is more than MOST_TREES
+    subtrees; a pair with more new ones than that is worked out on its own.
+    """
 
-def _shape(t: Tree) -> tuple:
-    """Tags, spans and nesting of a tree, as one value."""
-    nodes, left, _ = _postorder(t)
-    return tuple((n.tag, n.spans, at) for n, at in zip(nodes, left, strict=True))
+    def __init__(self):
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[tuple, int] = {}
+        self.nodes: list[Tree] = []
+        self.post: list[tuple[int, ...]] = []  # the numbers of a subtree's nodes, in postorder
+        self.left: list[tuple[int, ...]] = []  # the place of the leftmost leaf of each
+        self.rows: dict[str, tuple | None] = {}
+        self.dist = np.full((64, 64), np.nan)
+        self.renamed: dict[tuple[int, int], float] = {}
+        self.bare: dict[tuple, float] = {}
+
+    def _numbered(self, root: Tree, texts: bool) -> tuple[int, ...]:
+        """The numbers of the subtrees below a root, with or without their texts."""
+        nodes, left, _ = _postorder(root)
+        own: list[int] = []
+        for i, (node, leaf) in enumerate(zip(nodes[:-1], left[:-1], strict=True)):
+            label = (node.tag, node.spans, node.text if texts else "")
+            key = (label, tuple(own[leaf:i]), tuple(x - leaf for x in left[leaf : i + 1]))
+            at = self.number.setdefault(key, len(self.nodes))
+            if at == len(self.nodes):
+                self.nodes.append(Tree(*label, []))
+                self.post.append((*own[leaf:i], at))
+                self.left.append(key[2])
+            own.append(at)
+        top, i = [], len(nodes) - 2
+        while i >= 0:
+            top.append(own[i])
+            i = left[i] - 1
+        return tuple(reversed(top))
+
+    def _row(self, source: str) -> tuple | None:
+        """The numbers of a row with and without texts; None if it is not one that reads alike wherever it stands."""
+        try:
+            root = tree(f"<table>{source}</tr></table>") if _ROW.fullmatch(source) else None
+        except ValueError:
+            root = None
+        return root and (self._numbered(root, True), self._numbered(root, False))
+
+    def _read(self, html: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """The forests of a table with and without texts. Rows without markup in their cells are read once."""
+        if html.startswith("<table><tr>") and html.endswith("</tr></table>"):
+            full: tuple[int, ...] = ()
+            bare: tuple[int, ...] = ()
+            for source in html[7:-13].split("</tr>"):
+                if source not in self.rows and len(source) <= LONGEST_ROW:
+                    self.rows[source] = self._row(source)
+                known = self.rows.get(source)
+                if known is None:
+                    break
+                full += known[0]
+                bare += known[1]
+            else:
+                return full, bare
+        root = tree(html)
+        return self._numbered(root, True), self._numbered(root, False)
+
+    def _rename(self, x: int, y: int) -> float:
+        if (x, y) not in self.renamed:
+            self.renamed[x, y] = rename_cost(self.nodes[x], self.nodes[y], False)
+        return self.renamed[x, y]
+
+    def _subtrees(self, x: int, y: int) -> float:
+        """The distance of two subtrees; those of all smaller ones within them are known."""
+        px, py = self.post[x], self.post[y]
+        if len(px) == 1 or len(py) == 1:
+            return max(len(px), len(py)) - 1 + min(self._rename(i, j) for i in px for j in py)
+        lx, ly = self.left[x], self.left[y]
+        known = self.dist[np.ix_(px, py)].tolist()
+        rows = [[float(j) for j in range(len(py) + 1)]]
+        for i, own in enumerate(known):
+            above, before = rows[-1], rows[lx[i]]
+            row = [i + 1.0]
+            for j, d in enumerate(own):
+                through = above[j] + self._rename(x, y) if i == len(px) - 1 and j == len(py) - 1 else before[ly[j]] + d
+                row.append(min(above[j + 1] + 1, row[j] + 1, through))
+            rows.append(row)
+        return rows[-1][-1]
+
+    def _learn(self, a: np.ndarray, b: np.ndarray) -> None:
+        """The distances of all subtrees of the forests a and of b, row by row."""
+        n = 1 + int(max(a.max(), b.max()))
+        if n > len(self.dist):
+            wider = np.full((size := max(n, min(2 * n, 2 * MOST_TREES)), size), np.nan)
+            wider[: len(self.dist), : len(self.dist)] = self.dist
+            self.dist = wider
+        if len(self.renamed) > MOST_RENAMED:
+            self.renamed = {}
+        new: set[int] = set()
+        for own in a.T:
+            at = np.isnan(self.dist[own[:, None], b])
+            if at.any():
+                new.update((own[:, None] * n + b)[at].tolist())
+        for x, y in sorted((divmod(k, n) for k in new), key=lambda k: len(self.post[k[0]]) + len(self.post[k[1]])):
+            self.dist[x, y] = self._subtrees(x, y)
+
+    def _lefts(self, forest: tuple[int, ...]) -> list[int]:
+        out: list[int] = []
+        for t in forest:
+            begin = len(out)
+            out += [begin + x for x in self.left[t]]
+        return out
+
+    def _distances(self, pairs: list[tuple]) -> list[float]:
+        alike: dict[tuple, list[int]] = {}
+        for i, (a, b) in enumerate(pairs):
+            alike.setdefault((tuple([self.left[t] for t in a]), tuple([self.left[t] for t in b])), []).append(i)
+        out = [0.0] * len(pairs)
+        for of in alike.values():
+            la, lb = (self._lefts(x) for x in pairs[of[0]])
+            if not la or not lb:
+                for i in of:
+                    out[i] = float(len(la) + len(lb))
+                continue
+            lot = max(1, MOST_CELLS // (len(la) * len(lb)))
+            for first in range(0, len(of), lot):
+                own = of[first : first + lot]
+                a, b = (np.array([[n for t in pairs[i][side] for n in self.post[t]] for i in own]) for side in (0, 1))
+                self._learn(a, b)
+                for i, d in zip(own, self._forests(a, b, la, lb), strict=True):
+                    out[i] = d
+        return out
+
+    def _forests(self, a: np.ndarray, b: np.ndarray, la: list[int], lb: list[int]) -> list[float]:
+        rows = [np.repeat(np.arange(len(lb) + 1.0)[:, None], len(a), 1)]
+        before_b = np.array(lb)
+        for i, leaf in enumerate(la):
+            best = np.minimum(rows[leaf][before_b] + self.dist[a[:, i], b.T], rows[-1][1:] + 1)
+            row = np.empty_like(rows[0])
+            row[0] = i + 1
+            for j in range(len(lb)):
+                np.add(row[j], 1, out=row[j + 1])
+                np.minimum(row[j + 1], best[j], out=row[j + 1])
+            rows.append(row)
+        return rows[-1][-1].tolist()
+
+    def _settle(self, found: list[tuple | None], out: list[tuple]) -> None:
+        """Scores of the pairs read so far, each pair of forests once."""
+        size = lambda forest: 1 + sum(len(self.post[t]) for t in forest)
+        score = lambda pairs: {k: max(0.0, 1.0 - d / max(size(k[0]), size(k[1]))) for k, d in zip(pairs, self._distances(pairs), strict=True)}
+        full = score(list(dict.fromkeys(x[0] for x in found if x and x[0])))
+        self.bare |= score(list(dict.fromkeys(x[1] for x in found if x and x[0] and x[1] not in self.bare)))
+        out += [(None, None) if x is None else (full[x[0]], self.bare[x[1]]) if x[0] else x[1] for x in found]
+        if len(self.bare) > MOST_ROWS:
+            self.bare = {}
+
+    def __call__(self, pairs: Iterable[tuple[str | None, str | None]]) -> list[tuple]:
+        """(teds, teds_s) of each pair; nulls where a side has no table."""
+        found: list[tuple | None] = []  # forests with and without texts; nothing and the scores of a pair too large for this
+        out: list[tuple] = []
+        for x, y in pairs:
+            if len(self.nodes) > MOST_TREES or len(self.rows) > MOST_ROWS:
+                self._settle(found, out)
+                found = []
+                self._forget()
+            had = len(self.nodes)
+            try:
+                a, b = self._read(x or ""), self._read(y or "")
+            except ValueError:
+                found.append(None)
+                continue
+            if len(self.nodes) - had <= MOST_TREES:
+                found.append(((a[0], b[0]), (a[1], b[1])))
+                continue
+            self._settle(found, out)
+            found = []
+            self._forget()
+            one, other = tree(x), tree(y)
+            found.append(((), (_teds(one, other, False), _teds(one, other, True))))
+        self._settle(found, out)
+        return out
 
 
 def _spread(pairs: DataFrame) -> DataFrame:
@@ -122,20 +305,10 @@ def teds_scores(pairs: DataFrame, truth: str = "gt_html", prediction: str = "pre
     """pairs with teds and teds_s; null where a side has no table."""
 
     @F.pandas_udf(T.StructType([T.StructField("teds", T.DoubleType()), T.StructField("teds_s", T.DoubleType())]))
-    def score(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        out, shapes = [], {}  # the structural score of each pair of shapes, bounded
-        for x, y in zip(a, b, strict=True):
-            try:
-                truth_tree, found_tree = tree(x or ""), tree(y or "")
-                shape = _shape(truth_tree), _shape(found_tree)
-                if shape not in shapes:
-                    if len(shapes) > SHAPES:
-                        shapes.clear()
-                    shapes[shape] = _teds(truth_tree, found_tree, True)
-                out.append((_teds(truth_tree, found_tree, False), shapes[shape]))
-            except ValueError:
-                out.append((None, None))
-        return pd.DataFrame(out, columns=["teds", "teds_s"])
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        scores = _Scores()
+        for a, b in batches:
+            yield pd.DataFrame(scores(zip(a, b, strict=True)), columns=["teds", "teds_s"])
 
     return _spread(pairs).withColumn("s", score(truth, prediction)).select(*pairs.columns, "s.teds", "s.teds_s")
 

@@ -106,6 +106,15 @@ def plain_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.withColumn("row", dense.cast("int")).select("table_id", "row", "col", F.lit(1).alias("rowspan"), F.lit(1).alias("colspan"), "text", (F.col("row") == 0).alias("header"))
 
 
+def plain_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of plain_cells, a row of its three cells each: table_id, row (numbers may have gaps), first, second, third."""
+    li = table(spark, sf_dir, "lineitem")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = {"first": F.col("l_returnflag"), "second": F.col("l_linestatus"), "third": F.concat_ws(" & ", "l_returnflag", "l_linestatus")}
+    own = li.select(F.col("l_orderkey").cast("long").alias("table_id"), (F.col("l_linenumber") - 1).cast("int").alias("row"), *(F.when(F.col("l_suppkey") % 5 == 0, "").otherwise(x).alias(k) for k, x in texts.items()))
+    return own.repartition(parts, "table_id").groupBy("table_id", "row").agg(*(F.max(k).alias(k) for k in texts))
+
+
 PLAIN_CELLS = f"""{CELLS}, v_plain AS (SELECT table_id, CAST(dense_rank() OVER (PARTITION BY table_id ORDER BY "row") - 1 AS INT) AS "row", col, 1 AS rowspan, 1 AS colspan, text FROM (SELECT table_id, "row", col, max(text) AS text FROM v_cells GROUP BY ALL))"""
 
 
